@@ -91,6 +91,7 @@ def repair_mojibake(c: Column) -> Column:
 
 
 def phrase_pattern(phrase: str) -> str:
-    """Pattern that finds the words of a phrase in order, in any case, between word borders."""
+    """Pattern that finds the words of a phrase in order, in any case, as whole words."""
+    gap = r"[^\p{L}\p{N}_]"
     words = [w for w in phrase.replace(":", " ").split() if w]
-    return r"(?i)\b" + r"\W+".join(words) + r"\b"
+    return rf"(?iu)(?:^|{gap})" + f"{gap}+".join(words) + rf"(?:$|{gap})"

@@ -22,9 +22,10 @@ def extracted_pages(
     return cd.reduce_pages(cd.with_candidates(pg.admit(pages), rules, keep), collapse, keep)
 
 
-def typed_listings(df: DataFrame) -> DataFrame:
+def typed_listings(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Final types, repaired texts, normalised locations, and an id."""
     return df.select(
+        *keep,
         *[values.listing_row(c) for c in (*schema.PAGE_FIELDS, *schema.FOUND_FIELDS)],
         dedupe.listing_id(F.col("url")).alias("id"),
     )
