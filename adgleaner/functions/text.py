@@ -51,10 +51,9 @@ def _character(code_point: Column) -> Column:
 
 def _unescape_all(c: Column) -> Column:
     """General form: cut at each ampersand, resolve the reference each piece starts with."""
-    names = F.create_map(
-        *[F.lit(x) for kv in sorted(html.entities.name2codepoint.items()) for x in kv],
-        F.lit("apos"), F.lit(39),
-    )
+    # One literal that is folded into a map, instead of a node per name.
+    named = {**html.entities.name2codepoint, "apos": 39}
+    names = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in named.items())))
 
     def resolve(piece: Column, i: Column) -> Column:
         ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)

@@ -122,8 +122,8 @@ def train_text_model(df: DataFrame, text: str, target: str, dims: int = 1 << 14)
 def train_text_image_model(
     df: DataFrame, text: str, image_vector: str, target: str, dims: int = 1 << 14
 ) -> PipelineModel:
-    """Text and image features side by side; `image_vector` is an ML vector column."""
-    both = VectorAssembler(inputCols=["_word_counts", image_vector], outputCol="_features", handleInvalid="keep")
+    """Text and image features side by side; `image_vector` is an ML vector column, filled in every row."""
+    both = VectorAssembler(inputCols=["_word_counts", image_vector], outputCol="_features")
     return Pipeline(stages=[*_words(text, dims), both, _regression("_features", target)]).fit(df)
 
 

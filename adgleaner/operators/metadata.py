@@ -14,7 +14,6 @@ _TYPES = {f.name: f.dataType for f in schema.CANDIDATE.fields}
 
 def candidate(origin: str, **found: Column) -> Column:
     """Candidate struct: the fields given, all others NULL."""
-    found = {k.replace("ships_to", "ships to"): v for k, v in found.items()}
     fields = {"origin": F.lit(origin), **found}
     return F.struct(
         *[
@@ -192,7 +191,10 @@ def _attribute(tag: Column, name: str) -> Column:
     quoted = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'[^']*'|[^\s\"'>]+)", 1)
     single = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*'([^']*)'", 1)
     bare = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*([^\s\"'>]+)", 1)
-    return tx.unescape(F.when(quoted != "", quoted).when(single != "", single).otherwise(bare))
+    return F.when(quoted != "", quoted).when(single != "", single).otherwise(bare)
+
+
+_META_ATTRIBUTES = ("property", "name", "content", "price", "currency", "category")
 
 
 def meta_elements(html: Column) -> Column:
@@ -202,16 +204,11 @@ def meta_elements(html: Column) -> Column:
         F.regexp_extract_all(html, F.lit(r"(?is)<meta\s(?:[^'\">]|\"[^\"]*\"|'[^']*')*>"), F.lit(0)),
     )
     used = F.filter(tags, lambda t: t.rlike(r"(?is)\sproperty\s*=") | t.rlike(r"(?is)\sprice\s*="))
+    values_ = F.transform(
+        used, lambda t: F.transform(F.array(*[_attribute(t, a) for a in _META_ATTRIBUTES]), tx.unescape)
+    )
     return F.transform(
-        used,
-        lambda t: F.struct(
-            _attribute(t, "property").alias("property"),
-            _attribute(t, "name").alias("name"),
-            _attribute(t, "content").alias("content"),
-            _attribute(t, "price").alias("price"),
-            _attribute(t, "currency").alias("currency"),
-            _attribute(t, "category").alias("category"),
-        ),
+        values_, lambda v: F.struct(*[v[i].alias(a) for i, a in enumerate(_META_ATTRIBUTES)])
     )
 
 

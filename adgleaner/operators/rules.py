@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from adgleaner import constants
 from adgleaner.functions import values, web
 from adgleaner.operators.metadata import candidate, no_candidates
+from adgleaner.schema import FOUND_FIELDS
 
 # Rule tables up to this size are broadcast; larger ones join by shuffle.
 MAX_BROADCAST_RULES = 10_000
@@ -50,17 +51,14 @@ def rule_products(html: Column, rules: Column) -> Column:
 
     def found(field: str) -> Column:
         rule = F.get(F.filter(rules, lambda r: r["field"] == field), 0)
-        value = F.call_function("regexp_extract", html, rule["pattern"], rule["grp"])
-        return F.nullif(web.markup_text(value), F.lit(""))
+        return F.call_function("regexp_extract", html, rule["pattern"], rule["grp"])
 
-    fields = (
-        "name", "description", "image", "production_data", "category", "currency",
-        "seller", "seller_type", "seller_url", "location",
-    )
-    one = candidate(
-        "site rules",
-        **{f: found(f) for f in fields},
-        price=values.price(found("price")),
-        ships_to=found("ships to"),
-    )
-    return F.when(rules.isNotNull(), F.array(one)).otherwise(no_candidates())
+    raw = F.array(*[found(f) for f in FOUND_FIELDS])
+    texts = F.transform(raw, lambda v: F.nullif(web.markup_text(v), F.lit("")))
+
+    def one(values_: Column) -> Column:
+        cells = {f: values_[i] for i, f in enumerate(FOUND_FIELDS)}
+        return candidate("site rules", **{**cells, "price": values.price(cells["price"])})
+
+    # The lambda binds the texts, so each is cut out once.
+    return F.when(rules.isNotNull(), F.transform(F.array(texts), one)).otherwise(no_candidates())

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Without call-site records a large expression is built several times faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -104,7 +104,7 @@ def decoded_contents(spark, sf_dir):
 @query
 def stripped_texts(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    padded = F.concat(F.lit(" \t  "), F.upper("text"), F.lit("\n　"))
+    padded = F.concat(F.lit(" \t\u00a0 "), F.col("text"), F.lit("\n\u3000"))
     return docs.select(
         "doc_id",
         tx.text_key(padded).alias("text_key"),
