@@ -8,12 +8,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import HashingTF, RegexTokenizer, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adgleaner import constants
 from adgleaner.functions import values
+from adgleaner.session import shared_folder
 
 # A label set larger than this is an input mistake, not something to collect.
 MAX_LABELS = 1000
@@ -115,16 +116,26 @@ def _regression(features: str, target: str) -> LogisticRegression:
     )
 
 
+def _fitted(stages: list, df: DataFrame) -> PipelineModel:
+    """The trained model as saved and loaded: without the training summary, which
+    holds on to the session and then keeps tasks from being serialised."""
+    path = shared_folder(df.sparkSession, "model")
+    Pipeline(stages=stages).fit(df).write().save(path)
+    return PipelineModel.load(path)
+
+
 def train_text_model(df: DataFrame, text: str, target: str, dims: int = 1 << 14) -> PipelineModel:
-    return Pipeline(stages=[*_words(text, dims), _regression("_word_counts", target)]).fit(df)
+    return _fitted([*_words(text, dims), _regression("_word_counts", target)], df)
 
 
 def train_text_image_model(
-    df: DataFrame, text: str, image_vector: str, target: str, dims: int = 1 << 14
+    df: DataFrame, text: str, image_vector: str, image_dims: int, target: str, dims: int = 1 << 14
 ) -> PipelineModel:
-    """Text and image features side by side; `image_vector` is an ML vector column, filled in every row."""
+    """Text and image features side by side; `image_vector` is an ML vector of `image_dims` numbers."""
+    # The stated size spares a look at the first row, which may not exist.
+    sized = VectorSizeHint(inputCol=image_vector, size=image_dims)
     both = VectorAssembler(inputCols=["_word_counts", image_vector], outputCol="_features")
-    return Pipeline(stages=[*_words(text, dims), both, _regression("_features", target)]).fit(df)
+    return _fitted([*_words(text, dims), sized, both, _regression("_features", target)], df)
 
 
 def image_vectors(df: DataFrame, array: str, out: str) -> DataFrame:
@@ -173,7 +184,6 @@ def score_with(make_scorer: Callable[[], Callable[..., pd.Series]], result: str,
         for batch in batches:
             yield scorer(batch)
 
-    many: Iterator[tuple[pd.Series, ...]]
     if len(columns) == 1:
         run_one.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
         return F.pandas_udf(run_one, result)(*columns)

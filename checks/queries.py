@@ -488,7 +488,7 @@ def text_image_quality_labels(spark, sf_dir):
     rows = _quality_texts(spark, sf_dir).join(vectors, "doc_id", "left")
     rows = cl.image_vectors(rows.withColumn("embedding", F.col("embedding").cast("array<double>")), "embedding", "image_vector")
     train = rows.where(F.col("quality").isNotNull() & F.col("image_path").isNotNull())
-    model = cl.train_text_image_model(train, "product", "image_vector", "quality")
+    model = cl.train_text_image_model(train, "product", "image_vector", 64, "quality")
     return cl.text_image_labels(rows, model).select("doc_id", "image_path", "predicted_label")
 
 
