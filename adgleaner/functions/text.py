@@ -1,6 +1,7 @@
 """Column functions on plain text."""
 
 import html.entities
+from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -89,8 +90,8 @@ def repair_mojibake(c: Column) -> Column:
     return F.when(suspect & F.is_valid_utf8(again), again).otherwise(c)
 
 
-def phrase_pattern(phrase: str) -> str:
-    """Pattern that finds the words of a phrase in order, in any case, as whole words."""
+def phrases_pattern(phrases: Sequence[str]) -> str:
+    """Pattern that finds the words of any of the phrases in order, in any case, as whole words."""
     gap = r"[^\p{L}\p{N}_]"
-    words = [w for w in phrase.replace(":", " ").split() if w]
-    return rf"(?iu)(?:^|{gap})" + f"{gap}+".join(words) + rf"(?:$|{gap})"
+    forms = [f"{gap}+".join(p.replace(":", " ").split()) for p in phrases]
+    return rf"(?iu)(?:^|{gap})(?:{'|'.join(forms)})(?:$|{gap})"

@@ -18,8 +18,7 @@ def is_error_text(text: Column, phrases: Sequence[str] = constants.ERROR_PHRASES
 
 def has_phrase(text: Column, phrases: Sequence[str] = constants.INDEX_EXCLUDED_PHRASES) -> Column:
     """True if the text holds one of the phrases, word by word and in any case."""
-    hits = [text.rlike(tx.phrase_pattern(p)) for p in phrases]
-    return F.coalesce(reduce(lambda a, b: a | b, hits), F.lit(False))
+    return F.coalesce(text.rlike(tx.phrases_pattern(phrases)), F.lit(False))
 
 
 def decode_pages(raw: DataFrame) -> DataFrame:

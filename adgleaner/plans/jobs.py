@@ -75,7 +75,7 @@ def index_listings(
     hits: DataFrame, start: datetime, end: datetime, options: JobOptions = JobOptions(collapse="fields")
 ) -> DataFrame:
     """Listings from search hits: one row per URL and window, all windows in one pass."""
-    page = pg.index_hits(hits).withColumn("at", F.to_timestamp("retrieved"))
+    page = pg.index_hits(spread(hits)).withColumn("at", F.to_timestamp("retrieved"))
     wanted = in_run(page, "at", start, end).where(~pg.has_phrase(F.col("text")))
     windowed = wanted.withColumn("window_start", window_of("at", start)["start"]).drop("at")
     extracted = ls.extracted_pages(windowed, options.rules, options.collapse, keep=("window_start",))

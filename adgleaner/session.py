@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -23,13 +24,15 @@ def build_session(app: str = "adgleaner", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="adgleaner-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder the cluster names for checkpoints.
 
-    Only where none is named (tests on one machine) is a local one made.
+    Only where none is named, as in tests on one machine, is it a local one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="adgleaner-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

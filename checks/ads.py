@@ -10,6 +10,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adgleaner.operators.rules import Rule
+from adgleaner.operators.shape import compute_once
 
 RULES = [
     Rule("gumtree", "product", r'(?s)<h1 class="item-title">(.*?)</h1>'),
@@ -128,12 +129,11 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW_PAGE rows plus `p`, `variant` and `crawl`."""
     html = "CASE variant " + " ".join(f"WHEN {v} THEN {_filled(t)}" for v, t in _PAGES.items()) + " END"
     content = f"base64(CASE WHEN variant = 9 THEN encode({html}, 'ISO-8859-1') ELSE encode({html}, 'UTF-8') END)"
-    return ad_values(spark, sf_dir).select(
-        F.expr(_URL).alias("url"),
-        F.expr(content).alias("content"),
-        F.lit("text/html; charset=utf-8").alias("content_type"),
-        F.expr(f"{FIRST_FETCH}L + p * 1000L + crawl * 100000000L").alias("fetch_time"),
-        "p",
-        "variant",
-        "crawl",
+    return compute_once(
+        ad_values(spark, sf_dir),
+        ["p", "variant", "crawl"],
+        url=F.expr(_URL),
+        content=F.expr(content),
+        content_type=F.lit("text/html; charset=utf-8"),
+        fetch_time=F.expr(f"{FIRST_FETCH}L + p * 1000L + crawl * 100000000L"),
     )

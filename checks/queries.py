@@ -492,14 +492,14 @@ def text_image_quality_labels(spark, sf_dir):
     return cl.text_image_labels(rows, model).select("doc_id", "image_path", "predicted_label")
 
 
-def _length_scorer():
-    return lambda texts: texts.str.len().astype("int64")
-
-
 @query
 def custom_scores(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    return docs.select("doc_id", cl.score_with(_length_scorer, "bigint", F.col("text")).alias("score"))
+
+    def length_scorer():
+        return lambda texts: texts.str.len().astype("int64")
+
+    return docs.select("doc_id", cl.score_with(length_scorer, "bigint", F.col("text")).alias("score"))
 
 
 @query
