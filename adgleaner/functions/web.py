@@ -71,15 +71,24 @@ def markup_text(html: Column) -> Column:
     return unescape(F.regexp_replace(html, _TAG, ""))
 
 
+def without_markup(html: Column) -> Column:
+    """All a reader sees, without scripts, styles, comments and tags; references are left."""
+    return F.regexp_replace(F.regexp_replace(html, _UNSEEN, ""), _TAG, "")
+
+
 def page_text(html: Column) -> Column:
-    """All text a reader sees, without scripts, styles and comments."""
-    return markup_text(F.regexp_replace(html, _UNSEEN, ""))
+    """All text a reader sees."""
+    return unescape(without_markup(html))
+
+
+def title_markup(html: Column) -> Column:
+    """Content of the first title, references left; an empty text if there is none."""
+    return F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
 
 
 def page_title(html: Column) -> Column:
     """Text of the first title; NULL if there is none or it is empty."""
-    title = F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
-    return F.nullif(unescape(title), F.lit(""))
+    return F.nullif(unescape(title_markup(html)), F.lit(""))
 
 
 def domain(url: Column) -> Column:

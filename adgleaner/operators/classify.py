@@ -202,7 +202,9 @@ def classify(df: DataFrame, task: str, column: str | None = None, model: Pipelin
     if task == "text-classification":
         return text_labels(with_product_text(df, text), model)
     if task == "multi-model":
-        return text_image_labels(df, model)
+        if "image_path" not in df.columns:
+            raise ValueError("multi-model needs image_path: run the image step first")
+        return text_image_labels(with_product_text(df, text, keep_empty=True), model)
     if task == "both":
         return text_labels(zero_shot_text(with_product_text(df, text), text), model)
     raise ValueError(f"unknown task {task!r}")

@@ -41,3 +41,13 @@ def split_by_manifest(files: DataFrame, manifest: DataFrame) -> tuple[DataFrame,
 def listing_id(url: Column) -> Column:
     """Id that a rerun or a retried task gives again."""
     return F.sha2(url.cast("binary"), 256)
+
+
+def random_id() -> Column:
+    """A uuid. A retried task gives another one, so write the table before using it twice."""
+    return F.uuid()
+
+
+def row_number_id() -> Column:
+    """A number per row, rising but with gaps. It depends on the partitions."""
+    return F.monotonically_increasing_id()

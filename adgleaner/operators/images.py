@@ -65,6 +65,36 @@ def fetch_with(
     return fetch
 
 
+def image_vectors(
+    paths: DataFrame, files: DataFrame, extract: Callable[[bytes], list[float]]
+) -> DataFrame:
+    """Feature vector per stored image: (image_path, n_rows, image_vector).
+
+    `paths` has one row per image path with its number of listings, `files` is
+    (path, content). Bytes are read once per image and never joined to listings;
+    `with_image_vectors` brings the small vectors there.
+    """
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["image_vector"] = [extract(c) for c in batch.pop("content")]
+            yield batch
+
+    found = paths.join(files.select(F.col("path").alias("image_path"), "content"), "image_path")
+    return found.select("image_path", "n_rows", "content").mapInPandas(
+        each, "image_path string, n_rows bigint, image_vector array<double>"
+    )
+
+
+def with_image_vectors(listings: DataFrame, vectors: DataFrame) -> DataFrame:
+    return left_join_spread(listings, vectors, "image_path", "n_rows", "id")
+
+
+def path_counts(listings: DataFrame) -> DataFrame:
+    """One row per image path with its number of listings."""
+    return listings.where(F.col("image_path").isNotNull()).groupBy("image_path").agg(F.count("*").alias("n_rows"))
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back, so that what made it never runs again."""
     df.write.mode("overwrite").parquet(path)

@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, functions as F
 from adgleaner import schema
 from adgleaner.functions import values
 from adgleaner.operators import candidates as cd, dedupe, pages as pg
-from adgleaner.operators.shape import spread
 
 
 def extracted_pages(
@@ -46,4 +45,4 @@ def listings(
 
 def listings_from_raw(raw: DataFrame, **options) -> DataFrame:
     """Listings from RAW_PAGE rows."""
-    return listings(pg.read_pages(pg.decode_pages(spread(raw))), **options)
+    return listings(pg.read_pages(pg.decode_pages(raw)), **options)

@@ -10,7 +10,7 @@ import sys
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 
@@ -141,14 +141,19 @@ def read_tree(html: str, base: str) -> tuple[list[str], str | None, str | None]:
     return [json.dumps(i, ensure_ascii=False) for i in reader.items], reader.seller, reader.location
 
 
-@F.pandas_udf(TREE_RESULT)
-def _read_trees(html: pd.Series, base: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(TREE_RESULT)
+def _read_trees(html: pa.Array, base: pa.Array) -> pa.Array:
     nothing = ([], None, None)
-    rows = [read_tree(h, b) if h is not None else nothing for h, b in zip(html, base)]
-    return pd.DataFrame(rows, columns=TREE_RESULT.names)
+    rows = [read_tree(h, b) if h is not None else nothing for h, b in zip(html.to_pylist(), base.to_pylist())]
+    items, sellers, locations = zip(*rows) if rows else ((), (), ())
+    return pa.StructArray.from_arrays(
+        [pa.array(items, pa.list_(pa.string())), pa.array(sellers, pa.string()), pa.array(locations, pa.string())],
+        ["items", "seller_block", "location_block"],
+    )
 
 
 def page_tree(html: Column, url: Column, site: Column) -> Column:
     """Struct (items, seller_block, location_block). Other pages never leave the JVM."""
-    wanted = F.contains(html, F.lit("itemscope")) | F.contains(site, F.lit("ebay"))
+    markup = F.contains(html, F.lit("itemscope")) | F.contains(html, F.lit("ITEMSCOPE"))
+    wanted = markup | F.contains(site, F.lit("ebay"))
     return _read_trees(F.when(wanted, html), F.when(wanted, url))

@@ -89,10 +89,14 @@ _LD_SCRIPT = r"(?is)<script\b[^>]*application/ld\+json[^>]*>(.*?)</script\s*>"
 
 def json_ld_items(html: Column) -> Column:
     """All top-level JSON-LD items of a page as variants; a list counts item by item."""
-    bodies = F.when(
-        F.contains(html, F.lit("ld+json")), F.regexp_extract_all(html, F.lit(_LD_SCRIPT), F.lit(1))
-    )
-    parsed = F.filter(F.transform(bodies, lambda b: F.try_parse_json(tx.strip(b))), lambda v: v.isNotNull())
+    present = F.contains(html, F.lit("ld+json")) | F.contains(html, F.lit("LD+JSON"))
+    bodies = F.when(present, F.regexp_extract_all(html, F.lit(_LD_SCRIPT), F.lit(1)))
+
+    def parse(body: Column) -> Column:
+        # Many sites break lines within a text, which strict JSON does not allow.
+        return F.coalesce(F.try_parse_json(body), F.try_parse_json(F.regexp_replace(body, r"[\x00-\x1f]", " ")))
+
+    parsed = F.filter(F.transform(bodies, lambda b: parse(tx.strip(b))), lambda v: v.isNotNull())
     return F.flatten(F.transform(parsed, _as_list))
 
 

@@ -21,15 +21,26 @@ def has_phrase(text: Column, phrases: Sequence[str] = constants.INDEX_EXCLUDED_P
     return F.coalesce(text.rlike(tx.phrases_pattern(phrases)), F.lit(False))
 
 
+def admitted_hits(hits: DataFrame) -> DataFrame:
+    """Hits with a payload whose text passes, and bare records with content."""
+    text = F.col("_source.text")
+    bare = F.col("content").isNotNull() & (F.col("content") != "")
+    return hits.where(F.when(F.col("_source").isNotNull(), ~is_error_text(text)).otherwise(bare))
+
+
 def decode_pages(raw: DataFrame) -> DataFrame:
     """RAW_PAGE rows to pages with `html`; records without a valid page are dropped."""
     named = raw.where(F.col("content").isNotNull() & (F.col("content") != ""))
-    decoded = compute_once(
+    carried = [c for c in raw.columns if c not in ("content", "fetch_time")]
+    found = compute_once(
         named,
-        [c for c in raw.columns if c not in ("content", "fetch_time")],
-        html=web.decode_page(web.page_bytes(F.col("content"))),
+        carried,
+        bytes=web.page_bytes(F.col("content")),
         domain=web.domain(F.col("url")),
         retrieved=web.retrieved(F.col("fetch_time")),
+    )
+    decoded = compute_once(
+        found, [*carried, "domain", "retrieved"], html=web.decode_page(F.col("bytes"))
     ).where(F.col("html").isNotNull() & (F.col("html") != ""))
     return decoded.withColumns(
         {"page_kind": web.page_kind(F.col("content_type")), "site": web.site(F.col("domain"))}
@@ -38,11 +49,18 @@ def decode_pages(raw: DataFrame) -> DataFrame:
 
 def read_pages(pages: DataFrame) -> DataFrame:
     """Add `title`, `text` and `text_key` to rows with `html`, each computed once."""
-    texts = compute_once(
+    # In two steps: resolving references looks at its input several times.
+    bare = compute_once(
         pages,
         pages.columns,
-        title=web.page_title(F.col("html")),
-        text=web.page_text(F.col("html")),
+        title_=web.title_markup(F.col("html")),
+        text_=web.without_markup(F.col("html")),
+    )
+    texts = compute_once(
+        bare,
+        pages.columns,
+        title=F.nullif(tx.unescape(F.col("title_")), F.lit("")),
+        text=tx.unescape(F.col("text_")),
     )
     return texts.withColumn("text_key", tx.text_key(F.col("text")))
 

@@ -16,11 +16,14 @@ def compute_once(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataF
     return df.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(row)))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores if the scan has fewer partitions than that.
+def spread(scan: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows of a file scan out to all cores if it has fewer partitions than that.
 
     Compressed crawl files cannot be split, so one large file would be parsed by
-    one core. A scan that is already wide passes through without a shuffle.
+    one core. A scan that is already wide passes through without a shuffle. If
+    some files are far larger than others, ask for a number of partitions.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if partitions:
+        return scan.repartition(partitions)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

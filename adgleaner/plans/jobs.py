@@ -7,6 +7,7 @@ Tables of a job, below its target folder. Each grows by one folder per batch:
 The text keys of `pages` are the seen set, so nothing else has to be kept in step.
 """
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -25,6 +26,7 @@ from adgleaner.streaming.windows import in_run, window_of
 @dataclass(frozen=True)
 class JobOptions:
     rules: DataFrame | None = None
+    parse_partitions: int | None = None
     collapse: str = "row"
     https_images_only: bool = False
     fetch: Callable[[DataFrame], DataFrame] | None = None
@@ -43,10 +45,15 @@ def _finish(listings: DataFrame, target: str, batch: int, options: JobOptions) -
     return listings
 
 
-def run_batch(raw: DataFrame, target: str, batch: int, options: JobOptions) -> None:
-    """One batch of crawl records. Running it again gives the same tables."""
+def run_batch(raw: DataFrame, target: str, batch: int, options: JobOptions) -> dict[str, int]:
+    """One batch of crawl records. Running it again gives the same tables.
+
+    Returns how many records came in and how many could be decoded.
+    """
     spark = raw.sparkSession
-    decoded = pg.read_pages(pg.decode_pages(spread(raw)))
+    records, incoming = counts.observed(spread(raw, options.parse_partitions), f"records {batch}", records=F.count("*"))
+    pages, readable = counts.observed(pg.decode_pages(records), f"pages {batch}", pages=F.count("*"))
+    decoded = pg.read_pages(pages)
     extracted = ls.extracted_pages(decoded, options.rules, options.collapse)
     seen = sinks.read_batches(spark, f"{target}/pages", sinks.SEEN, before=batch)
     # Written before anything else uses it: markup is parsed once, and no step
@@ -55,6 +62,9 @@ def run_batch(raw: DataFrame, target: str, batch: int, options: JobOptions) -> N
     fresh = spark.read.schema(extracted.schema).parquet(folder)
     listings = ls.typed_listings(cd.collapse_pages(fresh, options.collapse))
     sinks.write_batch(_finish(listings, target, batch, options), f"{target}/listings", batch)
+    figures = {**incoming.get, **readable.get}
+    logging.info("batch %s: %s", batch, figures)
+    return figures
 
 
 def crawl_job(
@@ -63,7 +73,7 @@ def crawl_job(
     """Process all crawl files below `source` that no earlier run has processed."""
     files = stream_crawl_files(spark, source, files_per_batch)
     query = (
-        files.writeStream.foreachBatch(lambda raw, n: run_batch(raw, target, n, options))
+        files.writeStream.foreachBatch(lambda raw, n: run_batch(raw, target, n, options) and None)
         .option("checkpointLocation", f"{target}/progress")
         .trigger(availableNow=True)
         .start()
@@ -75,7 +85,7 @@ def index_listings(
     hits: DataFrame, start: datetime, end: datetime, options: JobOptions = JobOptions(collapse="fields")
 ) -> DataFrame:
     """Listings from search hits: one row per URL and window, all windows in one pass."""
-    page = pg.index_hits(spread(hits)).withColumn("at", F.to_timestamp("retrieved"))
+    page = pg.index_hits(hits).withColumn("at", F.to_timestamp("retrieved"))
     wanted = in_run(page, "at", start, end).where(~pg.has_phrase(F.col("text")))
     windowed = wanted.withColumn("window_start", window_of("at", start)["start"]).drop("at")
     extracted = ls.extracted_pages(windowed, options.rules, options.collapse, keep=("window_start",))
@@ -117,13 +127,12 @@ def scoring_job(
 
 def repair_images(spark: SparkSession, target: str, batch: int, options: JobOptions) -> None:
     """Images and classification for a finished batch that was written without them."""
-    folder = f"{target}/listings/batch={batch}"
-    table = spark.read.parquet(folder)
+    table = spark.read.parquet(f"{target}/listings/batch={batch}")
     if "image_path" in table.columns:
         return
-    work = f"{target}/repaired/batch={batch}"
-    _finish(table, target, batch, options).write.mode("overwrite").parquet(work)
-    spark.read.parquet(work).write.mode("overwrite").parquet(folder)
+    work = im.stored(_finish(table, target, batch, options), f"{target}/repaired/batch={batch}")
+    # Dynamic overwrite swaps the batch in when all of it is written.
+    sinks.write_listings(work.withColumn("batch", F.lit(batch)), f"{target}/listings", ("batch",))
 
 
 def kept_report(raw: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adgleaner.operators.rules import Rule
-from adgleaner.operators.shape import compute_once
+from adgleaner.operators.shape import compute_once, spread
 
 RULES = [
     Rule("gumtree", "product", r'(?s)<h1 class="item-title">(.*?)</h1>'),
@@ -33,7 +33,7 @@ def ad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     part, supplier, nation = (read(spark, sf_dir, t) for t in ("part", "supplier", "nation"))
     suppliers = supplier.agg(F.count("*").alias("n")).scalar()
     return (
-        part.select(
+        spread(part).select(
             F.col("p_partkey").alias("p"),
             F.expr("p_partkey % 12").alias("variant"),
             "p_name",

@@ -239,7 +239,7 @@ def _raw(spark, sf_dir) -> DataFrame:
 
 
 def _ad_pages(spark, sf_dir) -> DataFrame:
-    return pg.read_pages(pg.decode_pages(spread(_raw(spark, sf_dir))))
+    return pg.read_pages(pg.decode_pages(_raw(spark, sf_dir)))
 
 
 def _candidates(spark, sf_dir) -> DataFrame:

@@ -118,8 +118,11 @@ def test_crawl_job_reads_each_file_once_and_remembers_texts(spark, tmp_path):
 
 def test_a_batch_that_runs_again_leaves_the_same_tables(spark, tmp_path):
     target = str(tmp_path)
+    bad = raw(spark).limit(1).withColumn("content", F.lit("!!"))
+    records = raw(spark).unionByName(bad)
     for _ in range(2):
-        jobs.run_batch(raw(spark), target, 0, jobs.JobOptions(collapse="fields"))
+        figures = jobs.run_batch(records, target, 0, jobs.JobOptions(collapse="fields"))
+        assert figures["records"] == records.count() == figures["pages"] + 1
         got = {t: table(spark.read.parquet(f"{target}/{t}")) for t in ("pages", "listings")}
         expected = got if _ == 0 else expected
     assert got == expected and len(got["listings"]) > 100
@@ -151,6 +154,26 @@ def test_job_with_images_https_filter_and_classes(spark, tmp_path):
     assert out.where("image LIKE '%https%' AND image_path IS NULL AND label_product IS NOT NULL").count() == out.count() > 0
 
 
+def test_manifest_of_finished_files(spark, tmp_path):
+    files = spark.createDataFrame([("a",), ("b",)], "source_file string")
+    path = str(tmp_path / "manifest")
+    for _ in range(2):
+        sinks.mark_done(files.where("source_file = 'a'"), path, 0, has_image_path=False)
+    manifest = sinks.read_batches(spark, path, sinks.MANIFEST)
+    pending, repair = dedupe.split_by_manifest(files, manifest)
+    assert [r[0] for r in pending.collect()] == ["b"] and [r[0] for r in repair.collect()] == ["a"]
+
+
+def test_image_vectors_are_read_once_per_image(spark, tmp_path):
+    (tmp_path / "a.png").write_bytes(bytes([1, 2, 3]))
+    files = readers.read_images(spark, str(tmp_path))
+    path = files.first().path
+    rows = spark.createDataFrame([(f"i{n}", path) for n in range(5)] + [("x", None), ("y", "missing")], "id string, image_path string")
+    vectors = im.image_vectors(im.path_counts(rows), files, lambda b: [float(len(b)), float(sum(b))])
+    got = {r.id: r.image_vector for r in im.with_image_vectors(rows, vectors).collect()}
+    assert got == {**{f"i{n}": [3.0, 6.0] for n in range(5)}, "x": None, "y": None}
+
+
 def test_index_job(spark, tmp_path):
     hits = queries._index_hits(spark, DATA)
     options = jobs.JobOptions(collapse="fields", rules=rl.rules_table(spark, ads.RULES))

@@ -32,6 +32,11 @@ def test_json_ld_list_counts_item_by_item_and_broken_scripts_are_passed_over(spa
     assert [c["name"] for c in found] == ["a", "b", "c"]
 
 
+def test_json_ld_text_over_two_lines(spark):
+    found = json_ld(spark, body=['{"@type":"Product","name":"a\nb"}'])
+    assert [c["name"] for c in found] == ["a b"]
+
+
 @pytest.mark.parametrize(
     "image, address",
     [

@@ -63,6 +63,18 @@ def test_first_texts_order(spark):
     assert sorted(r.url for r in dedupe.first_texts(df).collect()) == ["u1", "u4"]
 
 
+def test_admitted_hits(spark):
+    rows = [(("fine",), None, 1), (("Not found",), "c", 2), ((None,), "c", 3), (None, "c", 4), (None, "", 5), (None, None, 6)]
+    hits = spark.createDataFrame(rows, "_source struct<text:string>, content string, n int")
+    assert sorted(r.n for r in pg.admitted_hits(hits).collect()) == [1, 4]
+
+
+def test_ids_are_unique(spark):
+    df = spark.range(0, 1000, 1, 4).select(dedupe.random_id().alias("u"), dedupe.row_number_id().alias("n"))
+    assert df.agg(F.countDistinct("u"), F.countDistinct("n")).first() == (1000, 1000)
+    assert {len(r.u) for r in df.limit(5).collect()} == {36}
+
+
 def test_split_by_manifest(spark):
     files = spark.createDataFrame([("a",), ("b",), ("c",)], "source_file string")
     manifest = spark.createDataFrame([("a", True), ("b", False)], "source_file string, has_image_path boolean")
@@ -257,6 +269,8 @@ def test_classify_tasks(spark):
     assert {"label_product", "score_product", "label", "score"} <= set(both.columns)
     with pytest.raises(ValueError):
         cl.classify(df, "other")
+    with pytest.raises(ValueError, match="image_path"):
+        cl.classify(df.drop("image_path"), "multi-model")
 
 
 def test_text_image_labels_keep_their_column_for_no_rows(spark, tmp_path):
@@ -266,6 +280,7 @@ def test_text_image_labels_keep_their_column_for_no_rows(spark, tmp_path):
     out = cl.text_image_labels(df, model)
     assert out.count() == 3 and dict(out.dtypes)["predicted_label"] == "int"
     assert cl.text_image_labels(df.where("image_path = 'none'"), model).columns[-1] == "predicted_label"
+    assert cl.classify(df, "multi-model", model=model).count() == 3
     model.write().overwrite().save(str(tmp_path / "model"))
     again = cl.load_model(str(tmp_path / "model"))
     assert cl.load_model(str(tmp_path / "model")) is again
