@@ -1,5 +1,8 @@
 """Crawl files as a stream: each file is read once, across runs."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adgleaner import schema
@@ -16,10 +19,22 @@ def stream_crawl_files(spark: SparkSession, path: str, files_per_batch: int = 10
 
 
 def first_texts_stream(pages: DataFrame, late: str = "1 day") -> DataFrame:
-    """First page per text while the stream runs. State is kept for `late` of event time;
-    texts older than that need the seen table (`plans.jobs`)."""
-    timed = pages.withColumn("event_time", F.to_timestamp("retrieved", "yyyy-MM-dd'T'HH:mm:ss.SSSxx"))
-    return timed.withWatermark("event_time", late).dropDuplicatesWithinWatermark(["text_key"])
+    """One page per text while the stream runs. State is kept for `late` of event time;
+    texts older than that need the seen table (`plans.jobs`).
+
+    Stream deduplication sends every row to the task that keeps its key. So that
+    a text which many pages share does not flood one task, each Arrow batch is
+    reduced first.
+    """
+
+    def first_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~batch.column("text_key").to_pandas().duplicated()))
+
+    time = F.to_timestamp("retrieved", "yyyy-MM-dd'T'HH:mm:ss.SSSxx")
+    timed = pages.withColumn("event_time", time)
+    reduced = timed.mapInArrow(first_in_batch, timed.schema)
+    return reduced.withWatermark("event_time", late).dropDuplicatesWithinWatermark(["text_key"])
 
 
 def fresh_texts(batch: DataFrame, seen: DataFrame) -> DataFrame:

@@ -102,6 +102,24 @@ def test_left_join_with_hot_and_null_keys(spark, n_cold):
     assert got.columns == ["id", "image", "path"]
 
 
+@pytest.mark.parametrize("key", [None, "hot"])
+def test_rows_without_a_key_to_look_up_are_dealt_out(spark, key):
+    rows = spark.range(0, 8000, 1, 4).select(
+        F.col("id"), F.expr(f"CASE WHEN id % 2 = 0 THEN {repr(key) if key else 'NULL'} ELSE concat('k', id) END").alias("k")
+    )
+    right = rows.where("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("v"))
+    joined = skew.left_join_spread(rows, right, "k", "n", "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        per_task = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r["count"] for r in per_task) == 8000
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) < 8000 / 4
+
+
 def test_hot_keys_are_few(spark):
     n = 5000
     right = spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit(3).cast("long").alias("n_rows"))
