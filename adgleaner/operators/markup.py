@@ -5,7 +5,6 @@ on Arrow batches, and only for pages that hold such markup.
 """
 
 import json
-import re
 import sys
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -42,6 +41,16 @@ TREE_RESULT = T.StructType(
 )
 
 
+class _Open:
+    """An open element and what it collects."""
+
+    __slots__ = ("tag", "item", "names", "text", "kind")
+
+    def __init__(self, tag):
+        self.tag = tag
+        self.item = self.names = self.text = self.kind = None
+
+
 class _TreeReader(HTMLParser):
     """Walks a page once, with the open elements on a stack."""
 
@@ -50,28 +59,46 @@ class _TreeReader(HTMLParser):
         self.base = base
         self.stack = []
         self.items = []
+        self.open_items = []
+        self.collectors = []
+        self.open_kinds = []
         self.seller = None
         self.location = None
 
-    def _within(self, key: str):
-        return next((e[key] for e in reversed(self.stack) if e[key] is not None), None)
-
     def handle_starttag(self, tag, attrs):
-        attr = {k: (v or "") for k, v in reversed(attrs)}
-        entry = {"tag": tag, "item": None, "prop": None, "text": [], "kind": None}
-        owner = self._within("item")
+        entry = _Open(tag)
+        if attrs:
+            attr = {k: v or "" for k, v in reversed(attrs)}
+            if "itemscope" in attr or "itemprop" in attr:
+                self._microdata(entry, attr)
+            if tag == "div" and "class" in attr:
+                self._block(entry, attr["class"].split())
+        if self.open_kinds and tag in ("a", "span"):
+            self._seller_part(entry)
+        if tag in _EMPTY_ELEMENTS:
+            return
+        self.stack.append(entry)
+        if entry.item is not None:
+            self.open_items.append(entry.item)
+        if entry.text is not None:
+            self.collectors.append(entry.text)
+        if entry.kind:
+            self.open_kinds.append(entry.kind)
+
+    def _microdata(self, entry, attr):
+        owner = self.open_items[-1] if self.open_items else None
         names = attr.get("itemprop", "").split()
         if "itemscope" in attr:
-            entry["item"] = item = {}
+            item = entry.item = {}
             kind = attr.get("itemtype", "").split()
             if kind:
                 item["@context"], _, item["@type"] = kind[0].rpartition("/")
-            if names and owner is not None:
-                self._add(owner, names, item)
-            elif not names:
+            if not names:
                 self.items.append(item)
+            elif owner is not None:
+                self._add(owner, names, item)
         elif names and owner is not None:
-            held = _VALUE_ATTRIBUTE.get(tag)
+            held = _VALUE_ATTRIBUTE.get(entry.tag)
             if held:
                 value = attr.get(held)
                 if value is not None and held in _ADDRESS_ATTRIBUTES:
@@ -80,41 +107,51 @@ class _TreeReader(HTMLParser):
             elif attr.get("content"):
                 self._add(owner, names, attr["content"])
             else:
-                entry["prop"] = (owner, names)
-        classes = attr.get("class", "").split()
-        if tag == "div" and SELLER_CLASS in classes and self.seller is None:
-            entry["kind"] = "seller"
-        elif tag == "div" and LOCATION_CLASS in classes and self.location is None:
-            entry["kind"] = "location"
-        elif tag == "a" and self._within("kind") == "seller":
-            entry["kind"] = "seller link"
-        elif tag == "span" and self._within("kind") == "seller link" and self.seller is None:
-            entry["kind"] = "seller name"
-        if tag not in _EMPTY_ELEMENTS:
-            self.stack.append(entry)
+                entry.names, entry.text = (owner, names), []
+
+    def _block(self, entry, classes):
+        if SELLER_CLASS in classes and self.seller is None:
+            entry.kind = "seller"
+        elif LOCATION_CLASS in classes and self.location is None:
+            entry.kind = "location"
+            entry.text = entry.text if entry.text is not None else []
+
+    def _seller_part(self, entry):
+        within = self.open_kinds[-1]
+        if entry.tag == "a" and within == "seller":
+            entry.kind = "seller link"
+        elif entry.tag == "span" and within == "seller link" and self.seller is None:
+            entry.kind = "seller name"
+            entry.text = entry.text if entry.text is not None else []
 
     def handle_endtag(self, tag):
-        if any(e["tag"] == tag for e in self.stack):
-            while self._leave() != tag:
-                pass
+        for entry in reversed(self.stack):
+            if entry.tag == tag:
+                while self._leave() != tag:
+                    pass
+                return
 
     def handle_data(self, data):
-        if self.stack and self.stack[-1]["tag"] in ("script", "style"):
-            return
-        for entry in self.stack:
-            if entry["prop"] or entry["kind"] in ("location", "seller name"):
-                entry["text"].append(data)
+        if self.collectors and self.stack[-1].tag not in ("script", "style"):
+            for text in self.collectors:
+                text.append(data)
 
     def _leave(self) -> str:
         entry = self.stack.pop()
-        text = "".join(entry["text"])
-        if entry["prop"]:
-            self._add(*entry["prop"], re.sub(r"\s+", " ", text).strip())
-        if entry["kind"] == "seller name" and self.seller is None:
-            self.seller = text.strip()
-        if entry["kind"] == "location" and self.location is None:
-            self.location = text
-        return entry["tag"]
+        if entry.item is not None:
+            self.open_items.pop()
+        if entry.text is not None:
+            self.collectors.pop()
+            text = "".join(entry.text)
+            if entry.names:
+                self._add(*entry.names, " ".join(text.split()))
+            if entry.kind == "seller name" and self.seller is None:
+                self.seller = text.strip()
+            if entry.kind == "location" and self.location is None:
+                self.location = text
+        if entry.kind:
+            self.open_kinds.pop()
+        return entry.tag
 
     def close(self):
         super().close()

@@ -40,11 +40,11 @@ def _value(v: Column, path: str) -> Column:
 
 def _is_object(v: Column) -> Column:
     """True for an object that is not empty."""
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT<") & (v.cast("string") != "{}"), F.lit(False))
+    return F.coalesce(F.size(F.try_variant_get(v, "$", "map<string,variant>")) > 0, F.lit(False))
 
 
 def _is_list(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("ARRAY<"), F.lit(False))
+    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
 
 
 def _as_list(v: Column) -> Column:
