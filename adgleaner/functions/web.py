@@ -24,8 +24,8 @@ def page_bytes(content: Column) -> Column:
 
 
 def declared_charset(as_latin1: Column) -> Column:
-    """Charset named by the first 2 KB of a page, in lower case; an empty text if none is."""
-    return F.lower(F.regexp_extract(F.substring(as_latin1, 1, 2048), r"(?i)charset\s*=\s*[\"']?\s*([A-Za-z0-9_-]+)", 1))
+    """First charset a page names, in lower case; an empty text if none is."""
+    return F.lower(F.regexp_extract(as_latin1, r"(?i)charset\s*=\s*[\"']?\s*([A-Za-z0-9_-]+)", 1))
 
 
 def decode_page(b: Column) -> Column:

@@ -5,10 +5,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from adgleaner import schema
 from adgleaner.operators.skew import left_join_spread
 
-# image, one id for it, and the number of listings that show it
-FETCHED = "image string, image_id string, n_rows bigint, image_path string"
 
 
 def distinct_images(listings: DataFrame) -> DataFrame:
@@ -60,7 +59,7 @@ def fetch_with(
 
     def fetch(images: DataFrame) -> DataFrame:
         named = images.select("image", "image_id", "n_rows", image_file(folder, F.col("image_id")).alias("image_path"))
-        return named.mapInPandas(each, FETCHED)
+        return named.mapInPandas(each, schema.IMAGES)
 
     return fetch
 
@@ -112,13 +111,21 @@ def add_images(
     fetch: Callable[[DataFrame], DataFrame] | None,
     manifest_path: str | None = None,
     path_column: str = "image_path",
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """The image step of a job; passes listings through if there is no fetcher.
 
     With `manifest_path` the fetched images are written there first. A fetcher
     with side effects needs that: the join reads its result more than once.
+    Images that `known` has a path for are not fetched again.
     """
     if fetch is None:
         return listings
-    fetched = fetch(distinct_images(listings))
+    images = distinct_images(listings)
+    if known is None:
+        fetched = fetch(images)
+    else:
+        have = known.where(F.col("image_path").isNotNull()).select("image", "image_path")
+        done = images.join(have, "image").select("image", "image_id", "n_rows", "image_path")
+        fetched = fetch(images.join(have, "image", "left_anti")).unionByName(done)
     return with_images(listings, stored(fetched, manifest_path) if manifest_path else fetched, path_column)

@@ -29,6 +29,7 @@ _VALUE_ATTRIBUTE = {
 }
 _ADDRESS_ATTRIBUTES = ("src", "href", "data")
 
+# Classes of the two blocks on pages of the auction site.
 SELLER_CLASS = "ux-seller-section__item--seller"
 LOCATION_CLASS = "ux-labels-values--itemLocation"
 

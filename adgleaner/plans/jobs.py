@@ -15,6 +15,7 @@ from datetime import datetime
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from adgleaner import schema
 from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im
 from adgleaner.operators import listings as ls, pages as pg
 from adgleaner.operators.shape import spread
@@ -39,7 +40,12 @@ def _finish(listings: DataFrame, target: str, batch: int, options: JobOptions) -
     """Images and classification, both optional."""
     if options.https_images_only:
         listings = pg.with_https_image(listings)
-    listings = im.add_images(listings, options.fetch, f"{target}/images/batch={batch}")
+    known = None
+    if options.fetch and batch:
+        earlier = sinks.read_batches(listings.sparkSession, f"{target}/images", schema.IMAGES, before=batch)
+        # An image shown by several batches is listed by each of them.
+        known = earlier.groupBy("image").agg(F.min("image_path").alias("image_path"))
+    listings = im.add_images(listings, options.fetch, f"{target}/images/batch={batch}", known=known)
     if options.task:
         listings = cl.classify(listings, options.task, options.column, options.model)
     return listings
@@ -55,7 +61,7 @@ def run_batch(raw: DataFrame, target: str, batch: int, options: JobOptions) -> d
     pages, readable = counts.observed(pg.decode_pages(records), f"pages {batch}", pages=F.count("*"))
     decoded = pg.read_pages(pages)
     extracted = ls.extracted_pages(decoded, options.rules, options.collapse)
-    seen = sinks.read_batches(spark, f"{target}/pages", sinks.SEEN, before=batch)
+    seen = sinks.read_batches(spark, f"{target}/pages", sinks.SEEN, before=batch) if batch else None
     # Written before anything else uses it: markup is parsed once, and no step
     # after this one depends on the crawl files.
     folder = sinks.write_batch(fresh_texts(extracted, seen), f"{target}/pages", batch)

@@ -48,3 +48,8 @@ CLASSIFIED = T.StructType(
     + _strings("id", "image_path")
     + [T.StructField("predicted_label", T.IntegerType())]
 )
+
+# Image manifest: an image, one id for it, the number of listings that show it, its path.
+IMAGES = T.StructType(
+    _strings("image", "image_id") + [T.StructField("n_rows", T.LongType())] + _strings("image_path")
+)

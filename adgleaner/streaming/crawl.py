@@ -37,6 +37,7 @@ def first_texts_stream(pages: DataFrame, late: str = "1 day") -> DataFrame:
     return reduced.withWatermark("event_time", late).dropDuplicatesWithinWatermark(["text_key"])
 
 
-def fresh_texts(batch: DataFrame, seen: DataFrame) -> DataFrame:
+def fresh_texts(batch: DataFrame, seen: DataFrame | None) -> DataFrame:
     """The same for one batch against a seen table; exact over any time."""
-    return dedupe.not_seen(dedupe.first_texts(batch), seen)
+    first = dedupe.first_texts(batch)
+    return first if seen is None else dedupe.not_seen(first, seen)

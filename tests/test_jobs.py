@@ -154,6 +154,29 @@ def test_job_with_images_https_filter_and_classes(spark, tmp_path):
     assert out.where("image LIKE '%https%' AND image_path IS NULL AND label_product IS NOT NULL").count() == out.count() > 0
 
 
+def test_an_image_of_an_earlier_batch_is_not_fetched_again(spark, tmp_path):
+    target, log = str(tmp_path / "out"), str(tmp_path / "log")
+
+    def load(address):
+        with open(log, "a") as f:
+            f.write(address + "\n")
+        return b"x"
+
+    def pages(name):
+        html = '<title>{}</title><meta property="og:image" content="https://i/{}.png">'
+        rows = [(f"http://x/{name}{i}", html.format(f"{name} {i}", i % 2 if i < 4 else name), 1000 + i) for i in range(5)]
+        df = spark.createDataFrame(rows, "url string, html string, fetch_time long")
+        return df.select("url", F.base64(F.encode("html", "UTF-8")).alias("content"), F.lit("text/html").alias("content_type"), "fetch_time")
+
+    options = jobs.JobOptions(fetch=im.fetch_with(load, lambda path, data: None, "imgs"))
+    for batch, name in enumerate(("a", "b", "c")):
+        jobs.run_batch(pages(name), target, batch, options)
+    assert sorted(open(log).read().split()) == [f"https://i/{n}.png" for n in ("0", "1", "a", "b", "c")]
+    out = spark.read.parquet(f"{target}/listings")
+    assert out.count() == 15 and out.where("image_path IS NULL").count() == 0
+    assert out.where("image LIKE '%/0.png'").select("image_path").distinct().count() == 1
+
+
 def test_manifest_of_finished_files(spark, tmp_path):
     files = spark.createDataFrame([("a",), ("b",)], "source_file string")
     path = str(tmp_path / "manifest")
