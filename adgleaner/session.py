@@ -14,6 +14,8 @@ SETTINGS = {
     # Without call-site records a large expression is built several times faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot does not compile larger methods; such stages run operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Stream state on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

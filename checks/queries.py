@@ -87,14 +87,13 @@ def fetch_times(spark, sf_dir):
 @query
 def decoded_contents(spark, sf_dir):
     """Texts as base64 of UTF-8 or Latin-1 bytes, or not base64 at all, read back."""
-    docs = read(spark, sf_dir, "documents")
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text"))
     fits = ~F.col("text").rlike(r"[^\x{0}-\x{FF}]") & (F.col("doc_id") % 2 == 1)
-    content = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("!!"), F.col("text"))).otherwise(
-        F.when(fits, F.base64(F.encode(F.when(fits, F.col("text")), "ISO-8859-1"))).otherwise(
-            F.base64(F.encode("text", "UTF-8"))
-        )
-    )
-    decoded = compute_once(docs, ["doc_id"], html=web.decode_page(web.page_bytes(content)))
+    checked = compute_once(docs, ["doc_id", "text"], latin=F.when(fits, F.col("text")))
+    written = F.base64(F.coalesce(F.encode("latin", "ISO-8859-1"), F.encode("text", "UTF-8")))
+    content = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("!!"), F.col("text"))).otherwise(written)
+    raw = compute_once(checked, ["doc_id"], bytes=web.page_bytes(content))
+    decoded = compute_once(raw, ["doc_id"], html=web.decode_page(F.col("bytes")))
     return decoded.select("doc_id", F.length("html").alias("n_chars"), _md5(F.col("html")).alias("html_md5"))
 
 
@@ -116,9 +115,10 @@ def stripped_texts(spark, sf_dir):
 @query
 def repaired_texts(spark, sf_dir):
     """Texts whose UTF-8 bytes were read as Latin-1, repaired."""
-    docs = read(spark, sf_dir, "documents")
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text"))
     broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    fixed = compute_once(docs, ["doc_id"], text=tx.repair_mojibake(broken))
+    misread = compute_once(docs, ["doc_id"], text=broken)
+    fixed = compute_once(misread, ["doc_id"], text=tx.repair_mojibake(F.col("text")))
     return fixed.select("doc_id", F.length("text").alias("n_chars"), _md5(F.col("text")).alias("text_md5"))
 
 
