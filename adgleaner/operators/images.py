@@ -9,7 +9,6 @@ from adgleaner import schema
 from adgleaner.operators.skew import left_join_spread
 
 
-
 def distinct_images(listings: DataFrame) -> DataFrame:
     """One row per image with a representative id. Counted before the shuffle."""
     return (

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adgleaner import schema
-from adgleaner.operators import classify as cl, dedupe, images as im, listings as ls, pages as pg, rules as rl
+from adgleaner.operators import dedupe, images as im, listings as ls, pages as pg, rules as rl
 from adgleaner.plans import jobs
 from adgleaner.sources import readers, sinks
 from adgleaner.streaming import crawl, windows
