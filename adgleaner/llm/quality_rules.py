@@ -122,18 +122,16 @@ def thresholds(
 
     own = group.select(*_KEYS, "n", *limits(group, "own_"))
     lang = of_lang.select(F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), *limits(of_lang, "lang_"))
-    every = of_all.select(*limits(of_all, "all_"))
-    # The last table is a single row.
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left").join(F.broadcast(every))
-    names = [c.removeprefix("all_") for c in every.columns]
+    every = of_all.select(*limits(of_all, "")).first().asDict()  # one row
+    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
     return joined.select(
         *_KEYS,
         *[
             F.when(F.col("n") >= min_docs, F.col(f"own_{c}"))
             .when(F.col("l_n") >= min_docs, F.col(f"lang_{c}"))
-            .otherwise(F.col(f"all_{c}"))
+            .otherwise(F.lit(limit))
             .alias(c)
-            for c in names
+            for c, limit in every.items()
         ],
     )
 

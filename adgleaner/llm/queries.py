@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adgleaner.llm import classifier, licences, packing, quality_rules, warc
+from adgleaner.llm import classifier, decontaminate, jaccard_join, licences, packing, pii, quality_rules, warc
 from adgleaner.llm.common import table
 
 
@@ -20,6 +20,15 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"), licences.known_licences(spark))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = pii.Scan(table(spark, sf_dir, "documents")).spans()
+    counts = [pii.count_of(F.col("base"), kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS[:4]]
+    base = pii.span_text(F.col("base"))
+    return spans.select(
+        "doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), pii.span_text(F.col("all")).alias("spans")
+    )
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return classifier.classify(docs, classifier.fit(docs, table(spark, sf_dir, "labels")))
@@ -34,9 +43,26 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_copies(table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_rules, op3_licences, op5_quality_classifier, op6_best_fit_packing, op7_warc)
+    for f in (
+        op1_quality_rules,
+        op3_licences,
+        op4_personal_data,
+        op5_quality_classifier,
+        op6_best_fit_packing,
+        op7_warc,
+        op9_jaccard_join,
+        op10_decontamination,
+    )
 }
 
 ORACLES: dict[str, str] = {}

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adgleaner.llm import classifier, packing
+from adgleaner.llm import classifier, decontaminate, jaccard_join, packing, pii
 from adgleaner.llm.common import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,12 +25,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return classifier.keep_good(docs, model).select(*COLUMNS)
 
 
+def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.one_of_each(docs).select(*COLUMNS)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """`n_chars` stays the length of the document as it came."""
+    return pii.Scan(docs).sanitised().select(*COLUMNS)
+
+
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
 STAGES = [
     ("quality", quality),
+    ("copies", copies),
+    ("benchmark", benchmark),
+    ("personal", personal),
     ("sequences", sequences),
 ]
 
