@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adgleaner.llm import classifier, decontaminate, jaccard_join, licences, packing, pii, quality_rules, warc
+from adgleaner.llm import classifier, decontaminate, jaccard_join, licences, packing, pii, quality_rules
+from adgleaner.llm import secret_forest, suffix_dedup, warc
 from adgleaner.llm.common import table
 
 
@@ -16,6 +17,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"), licences.known_licences(spark))
 
@@ -43,6 +48,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_forest.scan(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_copies(table(spark, sf_dir, "documents"))
 
@@ -55,11 +64,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_suffix_dedup,
         op3_licences,
         op4_personal_data,
         op5_quality_classifier,
         op6_best_fit_packing,
         op7_warc,
+        op8_secrets,
         op9_jaccard_join,
         op10_decontamination,
     )
