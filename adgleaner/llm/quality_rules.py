@@ -122,14 +122,15 @@ def thresholds(
 
     own = group.select(*_KEYS, "n", *limits(group, "own_"))
     lang = of_lang.select(F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), *limits(of_lang, "lang_"))
-    every = of_all.select(*limits(of_all, "")).first().asDict()  # one row
+    row = of_all.where("n > 0").select(*limits(of_all, "")).first()  # the only one, or none of an empty table
+    every = row.asDict() if row else {c.removeprefix("own_"): None for c in own.columns[3:]}
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
     return joined.select(
         *_KEYS,
         *[
             F.when(F.col("n") >= min_docs, F.col(f"own_{c}"))
             .when(F.col("l_n") >= min_docs, F.col(f"lang_{c}"))
-            .otherwise(F.lit(limit))
+            .otherwise(F.lit(limit).cast("double"))
             .alias(c)
             for c, limit in every.items()
         ],

@@ -1,4 +1,4 @@
-"""The registered queries of this package, and their SQL where SQL can say it."""
+"""The registered queries of this package. `ORACLES` has their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from adgleaner.llm import classifier, decontaminate, jaccard_join, licences, packing, pii, quality_rules
 from adgleaner.llm import secret_forest, suffix_dedup, warc
 from adgleaner.llm.common import table
+from adgleaner.llm.oracles import ORACLES
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,5 +78,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_decontamination,
     )
 }
-
-ORACLES: dict[str, str] = {}
