@@ -17,23 +17,6 @@ INDEX_EXCLUDED_PHRASES = (
     "Item Not found",
 )
 
-# Sites that have their own extraction rules.
-RULE_SITES = (
-    "gumtree",
-    "auctionzip",
-    "1stdibs",
-    "canadianlisted",
-    "etsy",
-    "ukclassifieds",
-    "thetaxidermystore",
-    "skullsunlimited",
-    "glacierwear",
-    "picclick",
-    "preloved",
-    "ebay",
-    "ecrater",
-)
-
 # Candidate labels and sentence template of the zero-shot task.
 CANDIDATE_LABELS = (
     "a real animal",

@@ -27,10 +27,12 @@ COMMON_REFERENCES = (
     ("&middot;", "\xb7"),
     ("&amp;", "&"),
 )
-_OTHER_REFERENCE = (
-    r"&(?!(?:lt|gt|quot|apos|nbsp|copy|middot|amp|#39);)"
-    r"(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-)
+_OTHER_REFERENCE = r"&(?!(?:lt|gt|quot|apos|nbsp|copy|middot|amp|#39);)(?:#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z])"
+
+# Names with their characters; those that also hold without a semicolon have at most six letters.
+_NAMED = html.entities.html5
+# Numbers of the C1 range mean Windows-1252.
+_C1 = {n: bytes([n]).decode("cp1252", "replace") for n in range(0x80, 0xA0)}
 
 
 def strip(c: Column) -> Column:
@@ -44,28 +46,40 @@ def text_key(c: Column) -> Column:
 
 
 def _character(code_point: Column) -> Column:
-    """The character of a code point; the replacement character if there is none."""
+    """The character of a code point; the replacement character if there is none, nothing for a control."""
     valid = (code_point.between(1, 0xD7FF)) | (code_point.between(0xE000, 0x10FFFF))
     safe = F.when(valid, code_point).otherwise(F.lit(0xFFFD))
-    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    plain = F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    high = F.element_at(F.array(*[F.lit(c) for c in _C1.values()]), (code_point - 0x7F).cast("int"))
+    control = code_point.between(1, 0x1F) & ~code_point.isin(0x09, 0x0A, 0x0C, 0x0D) | (code_point == 0x7F)
+    return F.when(code_point.between(0x80, 0x9F), high).when(control, "").otherwise(plain)
 
 
 def _unescape_all(c: Column) -> Column:
     """General form: cut at each ampersand, resolve the reference each piece starts with."""
     # One literal that is folded into a map, instead of a node per name.
-    named = {**html.entities.name2codepoint, "apos": 39}
-    names = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in named.items())))
+    text = "\x01".join(f"{k}\x02{v}" for k, v in _NAMED.items())
+    names = F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
 
     def resolve(piece: Column, i: Column) -> Column:
-        ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
-        code = (
-            F.when(F.lower(F.substring(ref, 1, 2)) == "#x", F.conv(F.substring(ref, 3, 6), 16, 10).cast("bigint"))
-            .when(ref.startswith("#"), F.substring(ref, 2, 7).try_cast("bigint"))
-            .otherwise(F.try_element_at(names, ref).cast("bigint"))
+        number = F.regexp_extract(piece, r"^(#(?:[0-9]+|[xX][0-9a-fA-F]+);?)", 1)
+        decimal = F.regexp_extract(number, r"^#([0-9]+)", 1).try_cast("bigint")
+        hexa = F.conv(F.regexp_extract(number, r"^#[xX]0*([0-9a-fA-F]{1,8});?$", 1), 16, 10).try_cast("bigint")
+        numbered = _character(F.coalesce(decimal, hexa, F.lit(0).cast("bigint")))
+        name = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,31};?)", 1)
+        # The whole name, else the longest start of it that is a name without a semicolon.
+        lengths = F.array(F.length(name), *[F.lit(n) for n in range(6, 1, -1)])
+        known = F.transform(
+            lengths,
+            lambda n: F.struct(
+                F.try_element_at(names, F.substr(name, F.lit(1), n)).alias("text"), F.least(F.length(name), n).alias("used")
+            ),
+        )
+        best = F.get(F.filter(known, lambda k: k["text"].isNotNull()), 0)
+        resolved = F.when(number != "", F.concat(numbered, F.substr(piece, F.length(number) + 1))).otherwise(
+            F.concat(best["text"], F.substr(piece, best["used"] + 1))
         )
-        rest = F.substr(piece, F.length(ref) + 2)
-        found = F.when(code.isNotNull(), F.concat(_character(code), rest))
-        return F.when(i == 0, piece).otherwise(F.coalesce(found, F.concat(F.lit("&"), piece)))
+        return F.when(i == 0, piece).otherwise(F.coalesce(resolved, F.concat(F.lit("&"), piece)))
 
     return F.array_join(F.transform(F.split(c, "&"), resolve), "")
 

@@ -1,9 +1,19 @@
 """Column functions that decode and read web pages."""
 
-from pyspark.sql import Column, functions as F
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, functions as F, types as T
 
 from adgleaner.functions.text import unescape
 
+# Executors need no copy of this module: the helper travels with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+CP1252_NAMES = ("windows-1252", "cp1252")
+LATIN9_NAMES = ("iso-8859-15", "latin-9")
+
 # Windows-1252 and ISO-8859-15 where they differ from ISO-8859-1.
 CP1252_HIGH = {
     0x80: "€", 0x82: "‚", 0x83: "ƒ", 0x84: "„", 0x85: "…", 0x86: "†",
@@ -28,8 +38,23 @@ def declared_charset(as_latin1: Column) -> Column:
     return F.lower(F.regexp_extract(as_latin1, r"(?i)charset\s*=\s*[\"']?\s*([A-Za-z0-9_-]+)", 1))
 
 
+@F.arrow_udf(T.StringType())
+def _decode_as(content: pa.Array, charset: pa.Array) -> pa.Array:
+    def one(b: bytes | None, name: str | None) -> str | None:
+        try:
+            return None if b is None else b.decode(name, "replace")
+        except LookupError:
+            return None
+
+    return pa.array([one(b, n) for b, n in zip(content.to_pylist(), charset.to_pylist())], pa.string())
+
+
 def decode_page(b: Column) -> Column:
-    """Text of page bytes: UTF-8 if valid, else by byte order mark or declared charset, else Latin-1."""
+    """Text of page bytes: UTF-8 if valid, else by byte order mark or declared charset, else Latin-1.
+
+    Charsets that SQL does not decode are decoded in Python, and only pages that
+    declare one and are not UTF-8 leave the JVM for it.
+    """
     utf8 = b.cast("string")
     latin1 = F.decode(b, "ISO-8859-1")
     charset = declared_charset(latin1)
@@ -38,12 +63,15 @@ def decode_page(b: Column) -> Column:
         return F.translate(latin1, "".join(map(chr, table)), "".join(table.values()))
 
     two_bytes = F.hex(F.substring(b, 1, 2))
+    utf16 = two_bytes.isin("FFFE", "FEFF") & (F.length(b) % 2 == 0)
+    plain = charset.isin("", "iso-8859-1", "latin-1", "latin1", "us-ascii", "utf-8", "utf8", *CP1252_NAMES, *LATIN9_NAMES)
+    other = ~F.is_valid_utf8(utf8) & ~utf16 & ~plain
     return (
         F.when(F.is_valid_utf8(utf8), utf8)
-        .when(two_bytes.isin("FFFE", "FEFF") & (F.length(b) % 2 == 0), F.decode(b, "UTF-16"))
-        .when(charset.isin("windows-1252", "cp1252"), with_table(CP1252_HIGH))
-        .when(charset.isin("iso-8859-15", "latin-9"), with_table(LATIN9))
-        .otherwise(latin1)
+        .when(utf16, F.decode(b, "UTF-16"))
+        .when(charset.isin(*CP1252_NAMES), with_table(CP1252_HIGH))
+        .when(charset.isin(*LATIN9_NAMES), with_table(LATIN9))
+        .otherwise(F.coalesce(_decode_as(F.when(other, b), F.when(other, charset)), latin1))
     )
 
 
@@ -58,12 +86,14 @@ def page_kind(content_type: Column) -> Column:
 
 
 _UNSEEN = (
-    r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"(?is)<script\b[^>]*+(?:>|\z).*?(?:</script\s*>|\z)"
+    r"|<style\b[^>]*+(?:>|\z).*?(?:</style\s*>|\z)"
     r"|<!--.*?(?:-->|\z)"
 )
-# A tag may hold `>` inside a quoted value; an unbalanced quote falls back to the plain form.
-_TAG = r"""<[a-zA-Z/!?](?:[^'">]++|"[^"]*+"|'[^']*+')*+>|<[a-zA-Z/!?][^>]*+>"""
+# What follows a tag's name: a quote opens a value only right after an equals sign.
+TAG_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?)*+"""
+# An unfinished tag runs to the end, so that no part of a page is scanned twice.
+_TAG = rf"<[a-zA-Z/!?]{TAG_REST}(?:>|\z)"
 
 
 def markup_text(html: Column) -> Column:
@@ -83,7 +113,7 @@ def page_text(html: Column) -> Column:
 
 def title_markup(html: Column) -> Column:
     """Content of the first title, references left; an empty text if there is none."""
-    return F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
+    return F.regexp_extract(html, r"(?is)<title\b[^>]*+(?:>|\z)(.*?)(?:</title\s*>|\z)", 1)
 
 
 def page_title(html: Column) -> Column:
@@ -92,8 +122,12 @@ def page_title(html: Column) -> Column:
 
 
 def domain(url: Column) -> Column:
-    """Host and port with every `www.` removed; NULL for a bad URL."""
-    return F.replace(F.try_parse_url(url, F.lit("AUTHORITY")), F.lit("www."), F.lit(""))
+    """Host and port with every `www.` removed; NULL for a URL without one.
+
+    Cut by pattern: crawled paths and queries hold characters that no URL parser accepts.
+    """
+    authority = F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://([^/?#\\\s]+)(?=[/?#\\]|\s*$)", 1)
+    return F.nullif(F.replace(authority, F.lit("www."), F.lit("")), F.lit(""))
 
 
 def site(domain_: Column) -> Column:

@@ -42,13 +42,37 @@ TREE_RESULT = T.StructType(
 )
 
 
+# Elements that a start tag of another ends, as long as no element of the second list stands between.
+_ENDED_BY = {
+    **dict.fromkeys(
+        "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
+        "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split(),
+        (("p",), ()),
+    ),
+    "li": (("li", "p"), ("ul", "ol", "menu")),
+    "dt": (("dt", "dd", "p"), ("dl",)),
+    "dd": (("dt", "dd", "p"), ("dl",)),
+    "option": (("option",), ("select", "datalist")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+    "tr": (("tr", "td", "th"), ("table",)),
+    "td": (("td", "th"), ("tr", "table")),
+    "th": (("td", "th"), ("tr", "table")),
+    "tbody": (("tbody", "thead", "tfoot", "tr", "td", "th"), ("table",)),
+    "thead": (("tbody", "thead", "tfoot", "tr", "td", "th"), ("table",)),
+    "tfoot": (("tbody", "thead", "tfoot", "tr", "td", "th"), ("table",)),
+}
+# What keeps an inner element from ending a paragraph outside of it.
+_SCOPE = frozenset("button td th caption table object marquee template".split())
+
+
 class _Open:
     """An open element and what it collects."""
 
-    __slots__ = ("tag", "item", "names", "text", "kind")
+    __slots__ = ("tag", "id", "item", "names", "text", "kind")
 
     def __init__(self, tag):
         self.tag = tag
+        self.id = None
         self.item = self.names = self.text = self.kind = None
 
 
@@ -65,11 +89,18 @@ class _TreeReader(HTMLParser):
         self.open_kinds = []
         self.seller = None
         self.location = None
+        self.counts = {}
+        # For `itemref`: items that name elements, and the properties found below each id outside of items.
+        self.referring = []
+        self.by_id = {}
 
     def handle_starttag(self, tag, attrs):
+        self._end_implied(tag)
         entry = _Open(tag)
         if attrs:
             attr = {k: v or "" for k, v in reversed(attrs)}
+            if "id" in attr and not self.open_items:
+                entry.id = attr["id"]
             if "itemscope" in attr or "itemprop" in attr:
                 self._microdata(entry, attr)
             if tag == "div" and "class" in attr:
@@ -79,6 +110,7 @@ class _TreeReader(HTMLParser):
         if tag in _EMPTY_ELEMENTS:
             return
         self.stack.append(entry)
+        self.counts[tag] = self.counts.get(tag, 0) + 1
         if entry.item is not None:
             self.open_items.append(entry.item)
         if entry.text is not None:
@@ -86,11 +118,30 @@ class _TreeReader(HTMLParser):
         if entry.kind:
             self.open_kinds.append(entry.kind)
 
+    def _end_implied(self, tag):
+        """Close what a start tag ends without an end tag of its own."""
+        ended, within = _ENDED_BY.get(tag, ((), ()))
+        while any(self.counts.get(t) for t in ended):
+            at = None
+            for i in range(len(self.stack) - 1, -1, -1):
+                open_tag = self.stack[i].tag
+                if open_tag in ended:
+                    at = i
+                    break
+                if open_tag in within or open_tag in _SCOPE:
+                    break
+            if at is None:
+                return
+            while len(self.stack) > at:
+                self._leave()
+
     def _microdata(self, entry, attr):
-        owner = self.open_items[-1] if self.open_items else None
+        owner = self.open_items[-1] if self.open_items else self._loose(entry)
         names = attr.get("itemprop", "").split()
         if "itemscope" in attr:
             item = entry.item = {}
+            if attr.get("itemref"):
+                self.referring.append((item, attr["itemref"].split()))
             kind = attr.get("itemtype", "").split()
             if kind:
                 item["@context"], _, item["@type"] = kind[0].rpartition("/")
@@ -103,13 +154,26 @@ class _TreeReader(HTMLParser):
             if held:
                 value = attr.get(held)
                 if value is not None and held in _ADDRESS_ATTRIBUTES:
-                    value = urljoin(self.base, value.strip())
+                    value = _absolute(self.base, value)
                 self._add(owner, names, value)
             elif attr.get("content"):
                 self._add(owner, names, attr["content"])
             else:
                 entry.names, entry.text = (owner, names), []
 
+    def _loose(self, entry):
+        """Where properties outside of items go that an item may name: one place per outermost id."""
+        name = entry.id or next((e.id for e in self.stack if e.id), None)
+        return self.by_id.setdefault(name, {}) if name else None
+
+    def resolve_references(self):
+        """Give items the properties of the elements that their `itemref` names."""
+        for item, names in self.referring:
+            for name in names:
+                for key, value in self.by_id.get(name, {}).items():
+                    for one in value if isinstance(value, list) else [value]:
+                        self._add(item, [key], one)
+
     def _block(self, entry, classes):
         if SELLER_CLASS in classes and self.seller is None:
             entry.kind = "seller"
@@ -126,11 +190,10 @@ class _TreeReader(HTMLParser):
             entry.text = entry.text if entry.text is not None else []
 
     def handle_endtag(self, tag):
-        for entry in reversed(self.stack):
-            if entry.tag == tag:
-                while self._leave() != tag:
-                    pass
-                return
+        # A count per name tells a stray end tag without a look at the stack.
+        if self.counts.get(tag):
+            while self._leave() != tag:
+                pass
 
     def handle_data(self, data):
         if self.collectors and self.stack[-1].tag not in ("script", "style"):
@@ -139,6 +202,7 @@ class _TreeReader(HTMLParser):
 
     def _leave(self) -> str:
         entry = self.stack.pop()
+        self.counts[entry.tag] -= 1
         if entry.item is not None:
             self.open_items.pop()
         if entry.text is not None:
@@ -171,12 +235,33 @@ class _TreeReader(HTMLParser):
                 item[name] = [item[name], value]
 
 
+def _absolute(base: str, address: str) -> str:
+    """The address against the page's; as it stands if it is no address."""
+    try:
+        return urljoin(base, address.strip())
+    except ValueError:
+        return address.strip()
+
+
 def read_tree(html: str, base: str) -> tuple[list[str], str | None, str | None]:
     """Top-level microdata items as JSON texts, seller name and location block of a page."""
     reader = _TreeReader(base or "")
-    reader.feed(html)
-    reader.close()
-    return [json.dumps(i, ensure_ascii=False) for i in reader.items], reader.seller, reader.location
+    try:
+        reader.feed(html)
+        reader.close()
+    except Exception:  # noqa: BLE001  whatever a page holds, it does not end the job: what was found so far counts
+        while reader.stack:
+            reader._leave()
+    reader.resolve_references()
+    return [t for t in map(_as_json, reader.items) if t], reader.seller, reader.location
+
+
+def _as_json(item: dict) -> str | None:
+    """None for an item that refers to itself."""
+    try:
+        return json.dumps(item, ensure_ascii=False)
+    except (ValueError, RecursionError):
+        return None
 
 
 @F.arrow_udf(TREE_RESULT)
@@ -192,6 +277,6 @@ def _read_trees(html: pa.Array, base: pa.Array) -> pa.Array:
 
 def page_tree(html: Column, url: Column, site: Column) -> Column:
     """Struct (items, seller_block, location_block). Other pages never leave the JVM."""
-    markup = F.contains(html, F.lit("itemscope")) | F.contains(html, F.lit("ITEMSCOPE"))
+    markup = html.rlike("(?i)itemscope")
     wanted = markup | F.contains(site, F.lit("ebay"))
     return _read_trees(F.when(wanted, html), F.when(wanted, url))

@@ -7,7 +7,7 @@ them. The struct fields are those of `schema.CANDIDATE`.
 from pyspark.sql import Column, functions as F, types as T
 
 from adgleaner import schema
-from adgleaner.functions import text as tx, values
+from adgleaner.functions import text as tx, values, web
 
 _TYPES = {f.name: f.dataType for f in schema.CANDIDATE.fields}
 
@@ -69,13 +69,29 @@ def image_address(image: Column, with_url: bool) -> Column:
     return F.coalesce(*steps, _text(first, "$"))
 
 
-def offer_price_texts(offer: Column) -> Column:
+_NUMBER_TYPE = r"^(?:TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
+
+
+def _price(v: Column) -> Column:
+    """A number as it is, else the number in a text."""
+    is_number = F.schema_of_variant(v).rlike(_NUMBER_TYPE)
+    return F.when(is_number, F.try_variant_get(v, "$", "double")).otherwise(values.price(_text(v, "$")))
+
+
+def _prices(v: Column, path: str) -> Column:
+    """The prices of a list or a single value; NULL if there is none."""
+    return F.when(_texts(v, path).isNotNull(), F.transform(_as_list(_value(v, path)), _price))
+
+
+def _mean(prices: Column) -> Column:
+    return values.mean(F.filter(prices, lambda x: x.isNotNull()))
+
+
+def offer_prices(offer: Column) -> Column:
     """Price of an offer, else its low and high price; NULL if it has neither."""
-    low, high = _text(offer, "$.lowPrice"), _text(offer, "$.highPrice")
-    return F.coalesce(
-        _texts(offer, "$.price"),
-        F.when(low.isNotNull() | high.isNotNull(), F.array(low, high)),
-    )
+    low, high = _value(offer, "$.lowPrice"), _value(offer, "$.highPrice")
+    some = _text(offer, "$.lowPrice").isNotNull() | _text(offer, "$.highPrice").isNotNull()
+    return F.coalesce(_prices(offer, "$.price"), F.when(some, F.array(_price(low), _price(high))))
 
 
 def _last(items: Column) -> Column:
@@ -84,13 +100,18 @@ def _last(items: Column) -> Column:
 
 # --- JSON-LD -----------------------------------------------------------------
 
-_LD_SCRIPT = r"(?is)<script\b[^>]*application/ld\+json[^>]*>(.*?)</script\s*>"
+# Comments are passed over as wholes. What is not closed runs to the end, so that no part is scanned twice.
+_SCRIPT = r"(?is)<!--.*?(?:-->|\z)|<script\b([^>]*+)(?:>|\z)(.*?)(?:</script\s*>|\z)"
+# Old pages hide a script from older readers.
+_WRAPPER = r"^(?:<!--|(?://\s*)?<!\[CDATA\[)|(?://\s*)?(?:-->|\]\]>)$"
 
 
 def json_ld_items(html: Column) -> Column:
     """All top-level JSON-LD items of a page as variants; a list counts item by item."""
-    present = F.contains(html, F.lit("ld+json")) | F.contains(html, F.lit("LD+JSON"))
-    bodies = F.when(present, F.regexp_extract_all(html, F.lit(_LD_SCRIPT), F.lit(1)))
+    parts = [F.regexp_extract_all(html, F.lit(_SCRIPT), F.lit(i)) for i in (1, 2)]
+    body = F.zip_with(*parts, lambda kind, b: F.when(kind.rlike(r"(?i)application/ld\+json"), b))
+    found = F.when(html.rlike(r"(?i)ld\+json"), F.filter(body, lambda b: b.isNotNull()))
+    bodies = F.transform(found, lambda b: F.regexp_replace(tx.strip(b), _WRAPPER, ""))
 
     def parse(body: Column) -> Column:
         # Many sites break lines within a text, which strict JSON does not allow.
@@ -121,7 +142,7 @@ def json_ld_candidate(item: Column) -> Column:
         image=image_address(_value(item, "$.image"), with_url=True),
         production_data=_text(item, "$.productionDate"),
         category=_text(item, "$.category"),
-        price=values.mean_price(offer_price_texts(offer)),
+        price=_mean(offer_prices(offer)),
         currency=values.currency(_texts(offer, "$.priceCurrency")),
         seller=_text(seller, "$.name"),
         seller_type=_text(seller, "$['@type']"),
@@ -166,10 +187,10 @@ def microdata_candidate(item: Column) -> Column:
         return case
 
     named = F.coalesce(
-        F.when(_is_object(listed), _texts(listed, "$.price")),
-        F.when(has_offer, _texts(offers, "$.price")),
-        F.when(has_inner, _texts(inner, "$.price")),
-        _texts(item, "$.price"),
+        F.when(_is_object(listed), _prices(listed, "$.price")),
+        F.when(has_offer, _prices(offers, "$.price")),
+        F.when(has_inner, _prices(inner, "$.price")),
+        _prices(item, "$.price"),
     )
     return candidate(
         "microdata",
@@ -178,7 +199,7 @@ def microdata_candidate(item: Column) -> Column:
         image=image_address(_value(item, "$.image"), with_url=False),
         production_data=_text(item, "$.productionDate"),
         category=_text(item, "$.category"),
-        price=values.mean_price(named),
+        price=_mean(named),
         currency=values.currency(chosen(lambda o: _texts(o, "$.priceCurrency"))),
         seller=from_seller("$.name", "$.seller"),
         seller_type=from_seller("$['@type']", "$.seller"),
@@ -190,30 +211,36 @@ def microdata_candidate(item: Column) -> Column:
 # --- Meta elements: OpenGraph and Dublin Core --------------------------------
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute, quoted either way or bare; an empty text if it is missing."""
-    quoted = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'[^']*'|[^\s\"'>]+)", 1)
-    single = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*'([^']*)'", 1)
-    bare = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*([^\s\"'>]+)", 1)
-    return F.when(quoted != "", quoted).when(single != "", single).otherwise(bare)
+# Comments, scripts and styles are passed over as wholes; group 2 is what a `<meta>` element holds.
+_META = rf"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+(?:>|\z).*?(?:</\1\s*>|\z)|<meta(?=[\s/])({web.TAG_REST})(?:>|\z)"
+# One attribute: name, then a value quoted either way or bare.
+_ATTRIBUTE = r"""([^\s=>"'/][^\s=>/]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?"""
+_META_ATTRIBUTES = ("property", "name", "content", "price", "currency", "category")
 
 
-_META_ATTRIBUTES = ("property", "name", "content", "price", "currency", "category")
+def _attributes(rest: Column) -> Column:
+    """Attributes of an element in order, as (name, value); the name is in lower case."""
+    cut = [F.regexp_extract_all(rest, F.lit(_ATTRIBUTE), F.lit(i)) for i in range(1, 5)]
+    return F.transform(
+        F.arrays_zip(*[c.alias(n) for c, n in zip(cut, ("name", "double", "single", "bare"))]),
+        lambda x: F.struct(F.lower(x["name"]).alias("name"), tx.unescape(F.concat(x["double"], x["single"], x["bare"])).alias("value")),
+    )
 
 
 def meta_elements(html: Column) -> Column:
     """`<meta>` elements that name a property, or a Dublin Core description with a price."""
-    tags = F.when(
-        F.contains(html, F.lit("<meta")) | F.contains(html, F.lit("<META")),
-        F.regexp_extract_all(html, F.lit(r"(?is)<meta\s(?:[^'\">]|\"[^\"]*\"|'[^']*')*>"), F.lit(0)),
-    )
-    used = F.filter(tags, lambda t: t.rlike(r"(?is)\sproperty\s*=") | t.rlike(r"(?is)\sprice\s*="))
-    values_ = F.transform(
-        used, lambda t: F.transform(F.array(*[_attribute(t, a) for a in _META_ATTRIBUTES]), tx.unescape)
-    )
-    return F.transform(
-        values_, lambda v: F.struct(*[v[i].alias(a) for i, a in enumerate(_META_ATTRIBUTES)])
-    )
+    rests = F.when(html.rlike(r"(?i)<meta[\s/]"), F.regexp_extract_all(html, F.lit(_META), F.lit(2)))
+    used = F.filter(rests, lambda t: t.rlike(r"(?i)(?:property|price)\s*="))
+
+    def named(pairs: Column) -> Column:
+        def value(name: str) -> Column:
+            same = F.filter(pairs, lambda x: x["name"] == name)
+            return F.coalesce(F.get(same, 0)["value"], F.lit(""))
+
+        return F.struct(*[value(a).alias(a) for a in _META_ATTRIBUTES])
+
+    found = F.transform(F.transform(used, _attributes), named)
+    return F.filter(found, lambda m: (m["property"] != "") | (m["price"] != ""))
 
 
 def open_graph_products(metas: Column) -> Column:

@@ -5,14 +5,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adgleaner import constants
 from adgleaner.functions import values, web
 from adgleaner.operators.metadata import candidate, no_candidates
 from adgleaner.schema import FOUND_FIELDS
 
-# Rule tables up to this size are broadcast; larger ones join by shuffle.
-MAX_BROADCAST_RULES = 10_000
-
 
 class Rule(NamedTuple):
     """`field` of pages of `site` is group `group` of `pattern`."""
@@ -28,17 +24,11 @@ _FIELD_NAMES = {"product": "name"}
 
 
 def rules_table(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
-    """One row per site with all its rules. Sites outside the known list have none."""
-    rows = [
-        (r.site, _FIELD_NAMES.get(r.field, r.field), r.pattern, r.group)
-        for r in rules
-        if r.site in constants.RULE_SITES
-    ]
-    table = spark.createDataFrame(rows, "site string, field string, pattern string, grp int")
-    grouped = table.groupBy("site").agg(
-        F.collect_list(F.struct("field", "pattern", "grp")).alias("rules")
-    )
-    return F.broadcast(grouped) if len(rows) <= MAX_BROADCAST_RULES else grouped
+    """One row per site with all its rules; of two for one field, the first given counts."""
+    rows = [(i, r.site, _FIELD_NAMES.get(r.field, r.field), r.pattern, r.group) for i, r in enumerate(rules)]
+    table = spark.createDataFrame(rows, "position int, site string, field string, pattern string, grp int")
+    ordered = F.sort_array(F.collect_list(F.struct("position", "field", "pattern", "grp")))
+    return table.groupBy("site").agg(ordered.alias("rules"))
 
 
 def with_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:

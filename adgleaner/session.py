@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot does not compile larger methods; such stages run operator by operator.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Of a key that a JSON object repeats, the last counts, as in browsers.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Stream state on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -37,7 +39,13 @@ def _local_root() -> str:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder the cluster names for checkpoints.
 
-    Only where none is named, as in tests on one machine, is it a local one.
+    On one machine, as in tests, it may be a local one. On a cluster a local
+    folder is not shared, so a missing setting is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -108,7 +108,13 @@ def test_page_kind(rows, content_type, kind):
         ("<a title='x>y' b=\">\">link</a>", "link"),
         ('<p class="odd>text</p>', "text"),
         ("a<script>never closed", "a"),
-        ("a&amp;lt; &lt;b&gt; &eacute;&#233;&#xe9; &bogus; &amp", "a&lt; <b> ééé &bogus; &amp"),
+        ("a&amp;lt; &lt;b&gt; &eacute;&#233;&#xe9; &bogus; &amp", "a&lt; <b> ééé &bogus; &"),
+        ("a&nbsp &copy 2020 &#146;&#x80; &lsqb; a&b=1 &#0; &NotEqualTilde;", "a\xa0 © 2020 ’€ [ a&b=1 \ufffd \u2242\u0338"),
+        ("<p title=it's>KEEP ME</p><p>don't</p><b>z</b> a>b", "KEEP MEdon'tz a>b"),
+        ("<a href=\"x\"\">KEEP ME</a><img alt=\"y>z\"> end", "KEEP ME end"),
+        ("x<meta " + "a " * 50_000, "x"),
+        ("x" + "<a b=" * 50_000, "x"),
+        ("x" + "<script " * 50_000, "x"),
         ("&#0;&#xD800;&#1114112;", "���"),
         ("<!DOCTYPE html><title>t</title>", "t"),
     ],
@@ -189,3 +195,17 @@ def test_best_label_takes_the_first_on_a_tie(rows):
 def test_typed_price_passes_through(rows):
     assert rows("price double", [(2.5,)], vl.listing_row("price")) == [(2.5,)]
     assert rows("price string", [("x",)], vl.listing_row("price")) == [(None,)]
+
+
+def test_domains_of_any_path(spark):
+    urls = ["https://www.shop.com/x|y", "http://shop.com?a={b}", "http://shop.com/a b", "http://shop.com/100%", "http://a b/c", "x"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    got = [r[0] for r in df.select(web.domain(F.col("u"))).collect()]
+    assert got == ["shop.com"] * 4 + [None, None]
+
+
+def test_declared_charsets(spark):
+    names = [("windows-1251", "Привет"), ("shift_jis", "日本"), ("gbk", "中文"), ("euc-kr", "한국"), ("big5", "中文"), ("nonsense", "é")]
+    rows = [(f"<meta charset={n}>".encode() + t.encode("latin-1" if n == "nonsense" else n),) for n, t in names]
+    got = [r[0].split(">")[1] for r in spark.createDataFrame(rows, "b binary").select(web.decode_page(F.col("b"))).collect()]
+    assert got == [t for _, t in names]
