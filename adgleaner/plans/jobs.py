@@ -1,10 +1,11 @@
 """Jobs: crawl files to listings, an index to listings, listings to labelled listings.
 
-Tables of a job, below its target folder. Each grows by one folder per batch:
-  pages      pages kept, with what was found on them, and their text key
-  images     one row per image fetched
-  listings   the result
-The text keys of `pages` are the seen set, so nothing else has to be kept in step.
+Tables of a job, below its target folder:
+  pages      pages with what was found on them, and their text key; one folder per batch
+  images     one row per image fetched; one folder per batch
+  listings   the result, made from all of `pages`
+Files are read in batches, but which page of a text and which row of a URL stays is
+decided over all of them, once per run, so that it does not depend on the batches.
 """
 
 import logging
@@ -13,14 +14,14 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from adgleaner import schema
 from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im
 from adgleaner.operators import listings as ls, pages as pg
 from adgleaner.operators.shape import spread
-from adgleaner.sources import sinks
-from adgleaner.streaming.crawl import fresh_texts, stream_crawl_files
+from adgleaner.sources import readers, sinks
+from adgleaner.streaming.crawl import stream_crawl_files
 from adgleaner.streaming.windows import in_run, window_of
 
 
@@ -51,64 +52,120 @@ def _finish(listings: DataFrame, target: str, batch: int, options: JobOptions) -
     return listings
 
 
-def run_batch(raw: DataFrame, target: str, batch: int, options: JobOptions) -> dict[str, int]:
-    """One batch of crawl records. Running it again gives the same tables.
+def extract_batch(raw: DataFrame, target: str, batch: int, options: JobOptions) -> dict[str, int]:
+    """Parse one batch of crawl records into `pages`. Running it again gives the same table.
 
     Returns how many records came in and how many could be decoded.
     """
-    spark = raw.sparkSession
     records, incoming = counts.observed(spread(raw, options.parse_partitions), f"records {batch}", records=F.count("*"))
     pages, readable = counts.observed(pg.decode_pages(records), f"pages {batch}", pages=F.count("*"))
-    decoded = pg.read_pages(pages)
-    extracted = ls.extracted_pages(decoded, options.rules, options.collapse)
-    seen = sinks.read_batches(spark, f"{target}/pages", sinks.SEEN, before=batch) if batch else None
-    # Written before anything else uses it: markup is parsed once, and no step
-    # after this one depends on the crawl files.
-    folder = sinks.write_batch(fresh_texts(extracted, seen), f"{target}/pages", batch)
-    fresh = spark.read.schema(extracted.schema).parquet(folder)
-    listings = ls.typed_listings(cd.collapse_pages(fresh, options.collapse))
-    sinks.write_batch(_finish(listings, target, batch, options), f"{target}/listings", batch)
+    extracted = ls.extracted_pages(pg.read_pages(pages), options.rules, options.collapse)
+    # One page per text of a batch is enough for the decision over all of them.
+    sinks.write_batch(dedupe.first_texts(extracted), f"{target}/pages", batch)
     figures = {**incoming.get, **readable.get}
     logging.info("batch %s: %s", batch, figures)
     return figures
 
 
+def publish(spark: SparkSession, target: str, batch: int, options: JobOptions) -> None:
+    """Make `listings` from all pages: one page per text, then one row per URL, in order of retrieval.
+
+    A row lies in the folder of the batch that saw its URL first. The table is
+    replaced as a whole; it can be made again from `pages` at any time.
+    """
+    pages = spark.read.parquet(f"{target}/pages")
+    fresh = dedupe.first_texts(pages).drop("batch")
+    listings = ls.typed_listings(cd.collapse_pages(fresh, options.collapse))
+    finished = _finish(listings, target, batch, options)
+    first = pages.groupBy("url").agg(F.min("batch").alias("batch"))
+    placed = im.stored(finished.join(first, "url"), f"{target}/finished")
+    writer = placed.hint("rebalance", "batch").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("batch").parquet(f"{target}/listings")
+
+
+def run_batch(raw: DataFrame, target: str, batch: int, options: JobOptions) -> dict[str, int]:
+    """One batch of crawl records, and the listings with it."""
+    figures = extract_batch(raw, target, batch, options)
+    publish(raw.sparkSession, target, batch, options)
+    return figures
+
+
 def crawl_job(
-    spark: SparkSession, source: str, target: str, options: JobOptions = JobOptions(), files_per_batch: int = 1000
+    spark: SparkSession,
+    source: str,
+    target: str,
+    options: JobOptions = JobOptions(),
+    files_per_batch: int = 1000,
+    bad_lines: str = "fail",
 ) -> None:
-    """Process all crawl files below `source` that no earlier run has processed."""
-    files = stream_crawl_files(spark, source, files_per_batch)
+    """Process all crawl files below `source` that no earlier run has processed.
+
+    `files_per_batch` bounds what one batch reads; the result is the same for any.
+    `bad_lines="drop"` passes over lines that are no records instead of failing.
+    """
+    files = stream_crawl_files(spark, source, files_per_batch, bad_lines)
+    done: list[int] = []
+
+    def one(raw: DataFrame, n: int) -> None:
+        extract_batch(raw, target, n, options)
+        done.append(n)
+
     query = (
-        files.writeStream.foreachBatch(lambda raw, n: run_batch(raw, target, n, options) and None)
+        files.writeStream.foreachBatch(one)
         .option("checkpointLocation", f"{target}/progress")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    # Also after a run that ended between its last batch and its listings.
+    last = done[-1] if done else _last_batch(spark, f"{target}/pages")
+    if last is not None and (done or last != _last_batch(spark, f"{target}/published")):
+        publish(spark, target, last, options)
+        sinks.write_batch(spark.range(1), f"{target}/published", last)
 
 
-def index_listings(
-    hits: DataFrame, start: datetime, end: datetime, options: JobOptions = JobOptions(collapse="fields")
-) -> DataFrame:
-    """Listings from search hits: one row per URL and window, all windows in one pass."""
+def _last_batch(spark: SparkSession, path: str) -> int | None:
+    """The number of a table's last batch; NULL if there is no table."""
+    of = T.StructType([T.StructField("batch", T.LongType())])
+    return readers.read_parquet(spark, path, of).agg(F.max("batch")).first()[0]
+
+
+def _index_pages(hits: DataFrame, start: datetime, end: datetime, options: JobOptions) -> DataFrame:
+    """One page per text of a time range, with its window."""
     page = pg.index_hits(hits).withColumn("at", F.to_timestamp("retrieved"))
     wanted = in_run(page, "at", start, end).where(~pg.has_phrase(F.col("text")))
     windowed = wanted.withColumn("window_start", window_of("at", start)["start"]).drop("at")
-    extracted = ls.extracted_pages(windowed, options.rules, options.collapse, keep=("window_start",))
-    fresh = dedupe.first_texts(extracted)
-    collapsed = cd.collapse_pages(fresh, options.collapse, ("window_start", "url"))
+    return dedupe.first_texts(ls.extracted_pages(windowed, options.rules, options.collapse, keep=("window_start",)))
+
+
+def _index_listings(pages: DataFrame, options: JobOptions) -> DataFrame:
+    collapsed = cd.collapse_pages(pages, options.collapse, ("window_start", "url"))
     named = ls.typed_listings(collapsed, keep=("window_start",))
     return named.withColumns(sinks.date_names(F.col("window_start"))).drop("window_start", "file_stamp")
 
 
+def index_listings(
+    hits: DataFrame, start: datetime, end: datetime, options: JobOptions = JobOptions(collapse="fields")
+) -> DataFrame:
+    """Listings from search hits: one row per URL and window, all windows in one pass."""
+    return _index_listings(_index_pages(hits, start, end, options), options)
+
+
 def index_job(
     hits: DataFrame, start: datetime, end: datetime, target: str, options: JobOptions = JobOptions(collapse="fields")
 ) -> None:
-    """Write the listings of a time range, one folder per day. A rerun replaces those days."""
-    run = f"{start:%Y%m%dT%H%M%S}"
-    listings = _finish(index_listings(hits, start, end, options), target, int(start.timestamp()), options)
-    folder = F.regexp_replace("image_folder", "/$", "")
-    sinks.write_listings(listings.withColumns({"folder": folder, "run": F.lit(run)}), f"{target}/listings", ("folder", "run"))
+    """Write the listings of a time range, one folder per day, without texts that other runs have.
+
+    A rerun replaces all that it wrote before.
+    """
+    spark, run = hits.sparkSession, f"{start:%Y%m%dT%H%M%S}"
+    of_run = T.StructType([*sinks.SEEN.fields, T.StructField("run", T.StringType())])
+    others = readers.read_parquet(spark, f"{target}/pages", of_run).where(F.col("run") != run)
+    fresh = im.stored(dedupe.not_seen(_index_pages(hits, start, end, options), others), f"{target}/pages/run={run}")
+    listings = _finish(_index_listings(fresh, options), target, int(start.timestamp()), options)
+    named = listings.withColumn("folder", F.regexp_replace("image_folder", "/$", ""))
+    writer = named.hint("rebalance", "folder").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("folder").parquet(f"{target}/listings/run={run}")
 
 
 def scoring_job(

@@ -6,21 +6,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adgleaner import schema
-from adgleaner.operators import dedupe
 
 
-def stream_crawl_files(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """New `.deflate` files below `path`."""
+def stream_crawl_files(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, bad_lines: str = "fail"
+) -> DataFrame:
+    """New `.deflate` files below `path`; lines that are no records end the stream, or are dropped."""
+    mode = {"fail": "FAILFAST", "drop": "DROPMALFORMED"}[bad_lines]
     return (
         spark.readStream.schema(schema.RAW_PAGE)
-        .options(pathGlobFilter="*.deflate", maxFilesPerTrigger=files_per_batch, mode="FAILFAST")
+        .options(pathGlobFilter="*.deflate", maxFilesPerTrigger=files_per_batch, mode=mode)
         .json(path)
     )
 
 
 def first_texts_stream(pages: DataFrame, late: str = "1 day") -> DataFrame:
     """One page per text while the stream runs. State is kept for `late` of event time;
-    texts older than that need the seen table (`plans.jobs`).
+    texts older than that are settled over all pages (`plans.jobs.publish`).
 
     Stream deduplication sends every row to the task that keeps its key. So that
     a text which many pages share does not flood one task, each Arrow batch is
@@ -35,9 +37,3 @@ def first_texts_stream(pages: DataFrame, late: str = "1 day") -> DataFrame:
     timed = pages.withColumn("event_time", time)
     reduced = timed.mapInArrow(first_in_batch, timed.schema)
     return reduced.withWatermark("event_time", late).dropDuplicatesWithinWatermark(["text_key"])
-
-
-def fresh_texts(batch: DataFrame, seen: DataFrame | None) -> DataFrame:
-    """The same for one batch against a seen table; exact over any time."""
-    first = dedupe.first_texts(batch)
-    return first if seen is None else dedupe.not_seen(first, seen)

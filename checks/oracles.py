@@ -94,7 +94,8 @@ SELECT 'http://x.example.com/' || p_partkey AS url, p_name AS title, CAST(NULL A
   CASE WHEN p_size % 2 = 0 THEN 'USA' END AS location, CAST(NULL AS VARCHAR) AS "ships to" FROM part
 """
 ORACLES["order_rows_as_text"] = """
-SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS customer, o_orderstatus, o_orderpriority FROM orders
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS customer, o_orderstatus, o_orderpriority,
+       CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate FROM orders
 """
 ORACLES["classifier_texts"] = """
 WITH r AS (
@@ -295,6 +296,26 @@ ORACLES["crawl_job_listings"] = (
     f" THEN 'data_Feb_10/' || min(id) OVER (PARTITION BY image) || '.png' END AS image_path FROM ({ORACLES['listings_by_row']}) l"
 )
 
+ORACLES["crawl_job_in_batches"] = ORACLES["crawl_job_listings"]
+ORACLES["index_job_overlapping"] = f"""
+WITH {_BY_FIELD}, ranged AS (
+  SELECT *, row_number() OVER (PARTITION BY {_key("text")} ORDER BY retrieved, url) AS turn
+  FROM kept WHERE {_IN_RANGE.format("2023-02-14 00:00:00")})
+SELECT url, count(*) AS n_rows FROM ranged WHERE turn = 1 GROUP BY url
+"""
+ORACLES["hostile_pages"] = """
+WITH p AS (SELECT p_partkey AS p, p_partkey % 10 AS v, p_name AS n FROM part)
+SELECT 'https://www.shop.com/' || p || '?a={b}|c' AS url,
+  CASE v WHEN 6 THEN 'a' || chr(160) || p || ' © 2020 ' || chr(8217) || ' KEEP ' || p || 'don''t a>b'
+         WHEN 1 THEN 'q' || n || ' page ' || p WHEN 2 THEN n || p || ' page ' || p
+         WHEN 9 THEN 'Привет ' || p ELSE 'page ' || p END AS text,
+  CASE WHEN v IN (6, 7, 9) THEN 'page' WHEN v IN (1, 2) THEN 'microdata' WHEN v IN (0, 5) THEN 'opengraph' ELSE 'json-ld' END AS origin,
+  CASE v WHEN 0 THEN n WHEN 1 THEN n WHEN 2 THEN n WHEN 3 THEN 'live ' || p WHEN 4 THEN 'second ' || p
+         WHEN 5 THEN 'a property=b ' || p WHEN 8 THEN n END AS name,
+  CASE v WHEN 2 THEN CAST(p AS DOUBLE) WHEN 4 THEN 15000000.0 WHEN 8 THEN -1.0 - p END AS price
+FROM p
+"""
+
 # --- dedupe, ranks and sets --------------------------------------------------
 
 ORACLES["first_documents"] = f"""

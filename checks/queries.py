@@ -15,7 +15,7 @@ from adgleaner.plans import jobs
 from adgleaner.session import shared_folder
 from adgleaner.sources import readers, sinks
 from adgleaner.streaming import windows
-from checks import ads
+from checks import ads, hostile
 from checks.ads import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,7 +184,7 @@ def listing_values(spark, sf_dir):
 
 @query
 def order_rows_as_text(spark, sf_dir):
-    orders = read(spark, sf_dir, "orders").drop("o_totalprice", "o_orderdate").withColumnRenamed("o_custkey", "customer")
+    orders = read(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "customer")
     return orders.select([F.col(c).cast("string").alias(c) for c in orders.columns])
 
 
@@ -313,6 +313,15 @@ def index_listings(spark, sf_dir):
     )
 
 
+@query
+def hostile_pages(spark, sf_dir):
+    """Pages with broken and misleading markup: what is found, and the text a reader sees."""
+    pages = pg.read_pages(pg.decode_pages(hostile.raw_pages(spark, sf_dir)))
+    last = F.element_at("candidates", -1)
+    found = cd.with_candidates(pages).select("url", "text", last.alias("c"))
+    return found.select("url", "text", "c.origin", "c.name", "c.price")
+
+
 # --- dedupe, ranks and sets --------------------------------------------------
 
 
@@ -571,15 +580,36 @@ def listings_through_csv(spark, sf_dir):
     return readers.read_csv(spark, path, rows.schema)
 
 
-@query
-def crawl_job_listings(spark, sf_dir):
-    """The whole disk job: crawl files, seen set, listings, image paths, written tables."""
+def _crawl_job(spark, sf_dir, files: int, files_per_batch: int):
     root = shared_folder(spark, "job")
-    sinks.write_jsonl(_raw(spark, sf_dir), f"{root}/in/data_pages", compression="deflate")
+    raw = _raw(spark, sf_dir)
+    sinks.write_jsonl(raw.repartition(files) if files else raw, f"{root}/in/data_pages", compression="deflate")
     # Brand images are in the store; all others fail.
     fetch = im.fetch_from_table(
         _store(spark, sf_dir).withColumn("image", F.concat("image", F.lit(".png"))), "data_Feb_10/"
     )
     options = jobs.JobOptions(rules=rl.rules_table(spark, ads.RULES), collapse="row", fetch=fetch)
-    jobs.crawl_job(spark, f"{root}/in/data_pages", f"{root}/out", options)
+    jobs.crawl_job(spark, f"{root}/in/data_pages", f"{root}/out", options, files_per_batch)
     return spark.read.parquet(f"{root}/out/listings").drop("batch")
+
+
+@query
+def crawl_job_listings(spark, sf_dir):
+    """The whole disk job: crawl files, seen set, listings, image paths, written tables."""
+    return _crawl_job(spark, sf_dir, 0, 1000)
+
+
+@query
+def crawl_job_in_batches(spark, sf_dir):
+    """The same from three files in three batches: the cut does not change the result."""
+    return _crawl_job(spark, sf_dir, 3, 1)
+
+
+@query
+def index_job_overlapping(spark, sf_dir):
+    """Two runs of the index job over ranges that overlap: no text is listed twice."""
+    target = shared_folder(spark, "index")
+    hits, options = _index_hits(spark, sf_dir), jobs.JobOptions(collapse="fields", rules=rl.rules_table(spark, ads.RULES))
+    for start, end in ((INDEX_START, datetime(2023, 2, 11, 12)), (datetime(2023, 2, 10, 17, 20), datetime(2023, 2, 14))):
+        jobs.index_job(hits, start, end, target, options)
+    return spark.read.parquet(f"{target}/listings").groupBy("url").agg(F.count("*").alias("n_rows"))
