@@ -1,6 +1,7 @@
 """Images: fetch each distinct address once, and join the path back to all listings."""
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,11 +37,20 @@ def fetch_from_table(store: DataFrame, folder: str) -> Callable[[DataFrame], Dat
 
 
 def fetch_with(
-    load: Callable[[str], bytes], save: Callable[[str, bytes], None], folder: str, exists: Callable[[str], bool] | None = None
+    load: Callable[[str], bytes],
+    save: Callable[[str, bytes], None],
+    folder: str,
+    exists: Callable[[str], bool] | None = None,
+    tasks: int | None = None,
+    threads: int = 8,
+    timeout: float = 30.0,
 ) -> Callable[[DataFrame], DataFrame]:
     """Fetcher that calls `load(address)` and `save(path, bytes)` on the executors.
 
-    A stored image is not loaded again; an address that fails gives a NULL path.
+    A stored image is not loaded again; an address that fails, or that takes more
+    than `timeout` seconds, gives a NULL path. Addresses are few bytes, so they are
+    dealt out to `tasks` tasks (by default, as many as shuffles have partitions) that
+    are not merged by size, and each task loads `threads` at a time.
     """
 
     def one(address: str, path: str) -> str | None:
@@ -51,14 +61,27 @@ def fetch_with(
         except Exception:
             return None
 
+    def done(future: Future) -> str | None:
+        try:
+            return future.result(timeout)
+        except TimeoutError:
+            return None
+
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch["image_path"] = [one(a, p) for a, p in zip(batch["image"], batch["image_path"])]
-            yield batch
+        pool = ThreadPoolExecutor(threads)
+        try:
+            for batch in batches:
+                futures = [pool.submit(one, a, p) for a, p in zip(batch["image"], batch["image_path"])]
+                batch["image_path"] = [done(f) for f in futures]
+                yield batch
+        finally:
+            # A load that hangs must not hold the task.
+            pool.shutdown(wait=False, cancel_futures=True)
 
     def fetch(images: DataFrame) -> DataFrame:
         named = images.select("image", "image_id", "n_rows", image_file(folder, F.col("image_id")).alias("image_path"))
-        return named.mapInPandas(each, schema.IMAGES)
+        n = tasks or int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return named.repartition(n, "image").mapInPandas(each, schema.IMAGES)
 
     return fetch
 
@@ -69,8 +92,8 @@ def image_vectors(
     """Feature vector per stored image: (image_path, n_rows, image_vector).
 
     `paths` has one row per image path with its number of listings, `files` is
-    (path, content). Bytes are read once per image and never joined to listings;
-    `with_image_vectors` brings the small vectors there.
+    (path, content). Vectors are taken right at the scan of the files, so that no
+    image moves; only they are joined.
     """
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,10 +101,9 @@ def image_vectors(
             batch["image_vector"] = [extract(c) for c in batch.pop("content")]
             yield batch
 
-    found = paths.join(files.select(F.col("path").alias("image_path"), "content"), "image_path")
-    return found.select("image_path", "n_rows", "content").mapInPandas(
-        each, "image_path string, n_rows bigint, image_vector array<double>"
-    )
+    content = files.select(F.col("path").alias("image_path"), "content")
+    vectors = content.mapInPandas(each, "image_path string, image_vector array<double>")
+    return paths.join(vectors, "image_path").select("image_path", "n_rows", "image_vector")
 
 
 def with_image_vectors(listings: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -35,6 +35,9 @@ class JobOptions:
     task: str | None = None
     column: str | None = None
     model: PipelineModel | None = None
+    # For classification by text and image: the folder that image paths start from, and what makes a vector of an image.
+    images: str | None = None
+    extract: Callable[[bytes], list[float]] | None = None
 
 
 def _finish(listings: DataFrame, target: str, batch: int, options: JobOptions) -> DataFrame:
@@ -47,9 +50,21 @@ def _finish(listings: DataFrame, target: str, batch: int, options: JobOptions) -
         # An image shown by several batches is listed by each of them.
         known = earlier.groupBy("image").agg(F.min("image_path").alias("image_path"))
     listings = im.add_images(listings, options.fetch, f"{target}/images/batch={batch}", known=known)
+    if options.task == "multi-model" and options.extract:
+        listings = _with_vectors(im.stored(listings, f"{target}/with-paths"), target, options)
     if options.task:
         listings = cl.classify(listings, options.task, options.column, options.model)
-    return listings
+    return listings.drop("image_vector")
+
+
+def _with_vectors(listings: DataFrame, target: str, options: JobOptions) -> DataFrame:
+    """Listings with the vector of their stored image, as the model takes it; without an image, NULL."""
+    files = readers.read_images(listings.sparkSession, options.images, relative=True)
+    vectors = im.image_vectors(im.path_counts(listings), files, options.extract)
+    joined = im.with_image_vectors(listings, im.stored(vectors, f"{target}/vectors"))
+    # A stored image that gives no vector cannot be classified by one.
+    known = joined.withColumn("image_path", F.when(F.col("image_vector").isNotNull(), F.col("image_path")))
+    return cl.image_vectors(known, "image_vector", "image_vector")
 
 
 def extract_batch(raw: DataFrame, target: str, batch: int, options: JobOptions) -> dict[str, int]:

@@ -1,5 +1,7 @@
 """Readers. All give an explicit schema, also when there is nothing to read."""
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -90,10 +92,13 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*", top: str | No
     )
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Image bytes by path."""
+def read_images(spark: SparkSession, path: str, relative: bool = False) -> DataFrame:
+    """Image bytes by path: as listed, or `relative` to the folder, as listings name it."""
     of = T.StructType(
         [T.StructField("path", T.StringType()), T.StructField("content", T.BinaryType())]
     )
     reader = spark.read.format("binaryFile").options(recursiveFileLookup=True)
-    return _or_empty(lambda: reader.load(path).select("path", "content"), spark, of)
+    # The listed path has a scheme that the folder's name may lack.
+    folder = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path).rstrip("/") + "/"
+    name = F.substring_index("path", folder, -1) if relative else F.col("path")
+    return _or_empty(lambda: reader.load(path).select(name.alias("path"), "content"), spark, of)

@@ -177,6 +177,46 @@ def test_an_image_of_an_earlier_batch_is_not_fetched_again(spark, tmp_path):
     assert out.where("image LIKE '%/0.png'").select("image_path").distinct().count() == 1
 
 
+def test_images_are_fetched_by_many_tasks(spark):
+    def load(address):
+        if address.endswith("7"):
+            raise OSError(address)
+        return b"x"
+
+    rows = spark.range(2000).select(
+        F.concat(F.lit("https://i/"), F.col("id").cast("string")).alias("image"), F.col("id").cast("string").alias("id")
+    )
+    fetched = im.fetch_with(load, lambda path, data: None, "imgs", tasks=6)(im.distinct_images(rows))
+    assert fetched.rdd.getNumPartitions() == 6
+    assert fetched.where("image_path IS NULL").count() == 200 and fetched.count() == 2000
+
+
+def test_job_with_text_and_image_classes(spark, tmp_path):
+    """Fetch, vectors of the stored images, and labels, all within the job."""
+    from adgleaner.operators import classify as cl
+
+    store, target = str(tmp_path / "store"), str(tmp_path / "out")
+
+    def save(path, data):
+        import os
+
+        os.makedirs(os.path.dirname(f"{store}/{path}"), exist_ok=True)
+        with open(f"{store}/{path}", "wb") as f:
+            f.write(data)
+
+    rows = [(f"good thing {i}", [1.0, 0.0], 1) for i in range(10)] + [(f"bad thing {i}", [0.0, 1.0], 0) for i in range(10)]
+    train = cl.image_vectors(spark.createDataFrame(rows, "product string, v array<double>, y int"), "v", "image_vector")
+    model = cl.train_text_image_model(train, "product", "image_vector", 2, "y")
+    options = jobs.JobOptions(
+        fetch=im.fetch_with(lambda address: address.encode(), save, "imgs"), task="multi-model", model=model,
+        images=store, extract=lambda data: [float(len(data) % 2), 1.0],
+    )
+    sinks.write_jsonl(raw(spark), str(tmp_path / "in"), "deflate")
+    jobs.crawl_job(spark, str(tmp_path / "in"), target, options)
+    out = spark.read.parquet(f"{target}/listings")
+    assert out.count() > 50 and out.where("predicted_label IS NULL OR image_path IS NULL").count() == 0
+
+
 def test_manifest_of_finished_files(spark, tmp_path):
     files = spark.createDataFrame([("a",), ("b",)], "source_file string")
     path = str(tmp_path / "manifest")
