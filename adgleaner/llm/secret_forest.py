@@ -78,8 +78,8 @@ def t_has_candidate(t: str) -> Column:
 
 
 def dictionary(docs: DataFrame, size: int = 2000) -> list[str]:
-    """The words of three letters or more that most documents hold: a list of `size` words."""
-    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(\p{L}{3,})"), F.lit(1))
+    """The words of 3 to 20 letters that most documents hold: a list of `size` words."""
+    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?<!\p{L})(\p{L}{3,20})(?!\p{L})"), F.lit(1))
     counted = docs.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return [r.word for r in counted.orderBy(F.desc("n"), "word").limit(size).collect()]
 
