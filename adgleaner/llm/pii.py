@@ -166,19 +166,24 @@ def disclosing_terms(
     pairs = each.groupBy("entity", "term").agg(
         F.count_distinct(F.struct("doc_id", "h")).alias("c_te"), F.count_distinct("context").alias("contexts")
     )
-    pairs = written(pairs.where(F.col("contexts") >= support).drop("contexts"), "pii-pairs")
-    wanted = pairs.select("term").distinct()
+    c_e = mentions.groupBy("entity").agg(F.count_distinct(F.struct("doc_id", "h")).alias("c_e"))
+    # A term is in as many documents at least as it is beside any entity. Common words go here, before all texts are read.
+    near = each.groupBy("term").agg(F.count_distinct(F.struct("doc_id", "h")).alias("c_near"))
+    total = F.lit(keyed.count())
+    ic = F.log(total / F.col("c_e"))
+
+    def share(documents: str) -> Column:
+        return F.log(F.col("c_te") * total / (F.col(documents) * F.col("c_e"))) / ic
+
+    likely = pairs.where(F.col("contexts") >= support).join(c_e, "entity").where(ic > 0).join(near, "term")
+    pairs = written(likely.where(share("c_near") >= generalise_at).select("entity", "term", "c_te", "c_e"), "pii-pairs")
     c_t = (
         keyed.select(F.explode(F.array_distinct(_terms(F.col("t")))).alias("term"))
-        .join(wanted, "term", "left_semi")
+        .join(pairs.select("term").distinct(), "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("c_t"))
     )
-    c_e = mentions.groupBy("entity").agg(F.count_distinct(F.struct("doc_id", "h")).alias("c_e"))
-    known = pairs.join(c_t, "term").join(c_e, "entity").withColumn("n", F.lit(keyed.count()))
-    ic = F.log(F.col("n") / F.col("c_e"))
-    share = F.log(F.col("c_te") * F.col("n") / (F.col("c_t") * F.col("c_e"))) / ic
-    judged = known.where(ic > 0).select("entity", "term", share.alias("share")).where(F.col("share") >= generalise_at)
+    judged = pairs.join(c_t, "term").select("entity", "term", share("c_t").alias("share")).where(F.col("share") >= generalise_at)
     return written(judged.select("entity", "term", (F.col("share") >= remove_at).alias("removed")), "pii-terms")
 
 
