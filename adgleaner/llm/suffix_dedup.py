@@ -102,11 +102,15 @@ class Anchors:
         return h[at[first]], context, d[first], start, end - start
 
 
-ANCHORS = "anchor long, context long, doc_id long, h int, start long, size long"
+ANCHORS = "anchor long, context long, doc_id long, h int, start long, size long, many boolean, goes boolean"
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """One row per context of every text."""
+    """One row per context of every text.
+
+    Of equal contexts that a task meets together, `many`, only one `goes` on to meet
+    the others: what a common line repeats does not flood the task of its anchor.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Anchors(length)
@@ -120,11 +124,13 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
             shift = np.array([p[3] for p in parts]) - first
             ids = pa.array([p[1] for p in parts], pa.int64()).take(pa.array(of))
             hs = pa.array([p[2] for p in parts], pa.int32()).take(pa.array(of))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), ids, hs, pa.array(start + shift[of]), pa.array(size)],
-                ["anchor", "context", "doc_id", "h", "start", "size"],
-            )
+            _, goes, group, count = np.unique(anchor ^ _mix(context), return_index=True, return_inverse=True, return_counts=True)
+            one = np.zeros(len(anchor), bool)
+            one[goes] = True
+            columns = (anchor.view(np.int64), context.view(np.int64), ids, hs, start + shift[of], size, count[group] > 1, one)
+            return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
+        names = [c.split()[0] for c in ANCHORS.split(", ")]
         with np.errstate(over="ignore"):
             parts, held = [], 0
             for batch in batches:
@@ -174,7 +180,7 @@ def met(found: DataFrame) -> DataFrame:
         run, start = np.cumsum(new) - 1, np.flatnonzero(new)
         same = a[start[1:]] == a[start[:-1]]
         differs = np.concatenate([[before], same]) | np.concatenate([same, [False]])
-        whole = np.bincount(run) > 1
+        whole = (np.bincount(run) > 1) | (np.bincount(run, weights=t["many"].to_numpy()) > 0)
         out = (whole | differs)[run]
         if not end:
             out[start[-1] : start[-1] + 2] = False
@@ -339,7 +345,8 @@ def window_marks(contexts: DataFrame, length: int) -> DataFrame:
 
 def marks(docs: DataFrame, length: int = 200, most_contexts: int = 5000) -> DataFrame:
     """`doc_id, h, start, size`: pieces of texts, in bytes, that together are all there is to remove."""
-    shared = written(met(anchors(docs, length)), "suffix-anchors")
+    found = written(anchors(docs, length), "suffix-found")
+    shared = written(met(found.where("goes")), "suffix-anchors")
     some = shared.where("differs and first")
     busy = some.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > most_contexts).select("anchor")
     busy = written(busy, "suffix-busy")
@@ -350,11 +357,12 @@ def marks(docs: DataFrame, length: int = 200, most_contexts: int = 5000) -> Data
     each = text.select("s.doc_id", "s.h", data.alias("bytes"), F.explode("wanted").alias("x"))
     piece = F.substring("bytes", (F.col("x.start") + 1).cast("int"), F.col("x.size").cast("int"))
     contexts = written(each.select("x.anchor", "doc_id", "h", "x.start", piece.alias("data")), "suffix-contexts")
-    found = context_marks(contexts.join(busy, "anchor", "left_anti"), length)
+    ends = context_marks(contexts.join(busy, "anchor", "left_anti"), length)
     if not busy.isEmpty():
-        found = found.union(window_marks(contexts.join(busy, "anchor", "left_semi"), length))
+        ends = ends.union(window_marks(contexts.join(busy, "anchor", "left_semi"), length))
     whole = shared.where("whole").select("doc_id", "h", "start", "size")
-    return written(whole.union(found), "suffix-marks")
+    rest = found.where("many and not goes").select("doc_id", "h", "start", "size")
+    return written(whole.union(rest).union(ends), "suffix-marks")
 
 
 def covered(size: int, pieces: list[dict]) -> np.ndarray:
