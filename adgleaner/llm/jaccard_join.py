@@ -23,11 +23,10 @@ two elements) also emits the empty ones; only such documents meet there.
 
 Equal sets become one class first, so that copies are not joined with each other.
 Documents that share a key are candidates. They are verified against stars, one
-centre per key, then connected, and only what is still apart is compared further,
-so that a large group of near copies costs what its members cost, not their
-pairs. In the end, every candidate pair is verified or connected. A parity bitmap
-of each set bounds the difference from below and spares most failing pairs
-the exact count.
+centre per key, then connected. What is still apart, such as many copies of one text
+that are all too far from each other, is compared in blocks by parity bitmaps, which
+bound the difference from below; only pairs that may be links become rows and are
+counted exactly. In the end, every candidate pair is verified, ruled out or connected.
 
 Shingles and sets are compared by 64-bit hashes. Null and empty texts have no
 shingles and are linked with nothing; repeated rows are linked; a null id
@@ -43,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adgleaner.llm.common import written
+from adgleaner.llm.common import batches_of, written
 
 WIDTH = 5
 _U = np.uint64
@@ -107,36 +106,46 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
     return np.unique(h)
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """`doc_id, h, n_shingles, cid, tokens`: per row its set, known by `cid`; `h` tells texts of one id apart.
+class Shingler:
+    """Shingle sets of texts given as bytes."""
 
-    Each task gives the tokens of a set once.
-    """
+    def __init__(self):
+        with np.errstate(over="ignore"):
+            self.values, self.blank = _byte_values()
+            self.powers, self.inverse = _powers(_CHUNK, _BASE), _powers(_CHUNK, _BASE_INV)
+
+    def of(self, text: pa.Scalar) -> np.ndarray:
+        return shingle_set(_word_hashes(text.as_buffer() or b"", self.values, self.blank, self.powers, self.inverse))
+
+    @staticmethod
+    def known_by(tokens: np.ndarray) -> int:
+        return int((_mix(tokens).sum() ^ _U(len(tokens))).astype(np.int64))
+
+
+def _source(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """`doc_id, h, n_shingles, cid`: per row the size of its set, and what the set is known by; `h` tells texts of one id apart."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, blank = _byte_values()
-        seen: set[int] = set()
+        shingler = Shingler()
         with np.errstate(over="ignore"):
-            powers, inverse = _powers(_CHUNK, _BASE), _powers(_CHUNK, _BASE_INV)
-            for batch in batches:
-                for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                    sizes, ids, tokens = [], [], []
-                    for text in part.column(2):
-                        s = shingle_set(_word_hashes(text.as_buffer() or b"", values, blank, powers, inverse))
-                        sizes.append(len(s))
-                        cid = int((_mix(s).sum() ^ _U(len(s))).astype(np.int64)) if len(s) else None
-                        ids.append(cid)
-                        tokens.append(s.tobytes() if len(s) and cid not in seen else None)
-                        if len(seen) > 1_000_000:  # only spares work; forgetting is harmless
-                            seen.clear()
-                        seen.add(cid)
-                    yield pa.RecordBatch.from_arrays(
-                        [*part.columns[:2], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(tokens, pa.binary())],
-                        ["doc_id", "h", "n_shingles", "cid", "tokens"],
-                    )
-
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    return source.mapInArrow(of_batch, "doc_id long, h long, n_shingles long, cid long, tokens binary")
+            for part in _parts(batches, 1000):
+                sets = ((len(s), shingler.known_by(s) if len(s) else None) for s in map(shingler.of, part.column(2)))
+                sizes, ids = zip(*sets)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:2], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())],
+                    ["doc_id", "h", "n_shingles", "cid"],
+                )
+
+    return _source(docs).mapInArrow(of_batch, "doc_id long, h long, n_shingles long, cid long")
 
 
 class Allocation:
@@ -221,19 +230,27 @@ class Allocation:
         return _mix(_mix(rest + _U(k + 1) * _BASE))
 
 
-def segment_keys(sets: DataFrame, allocation: Allocation) -> DataFrame:
-    """`key, cid` of every set."""
+def segment_keys(docs: DataFrame, allocation: Allocation) -> DataFrame:
+    """`key, cid` of every set. A task gives the keys of a set that it meets again only once."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, seen = Shingler(), set()
         with np.errstate(over="ignore"):
-            for batch in batches:
-                for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                    found = [allocation.keys(np.frombuffer(t.as_py(), np.uint64)) for t in part.column(1)]
-                    cid = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(f) for f in found])
-                    key = np.concatenate(found).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(cid, pa.int64())], ["key", "cid"])
-
-    return sets.where("tokens is not null").select("cid", "tokens").mapInArrow(of_batch, "key long, cid long")
+            for part in _parts(batches, 500):
+                keys, ids = [np.zeros(0, np.uint64)], []
+                for tokens in map(shingler.of, part.column(2)):
+                    cid = shingler.known_by(tokens) if len(tokens) else None
+                    if cid is None or cid in seen:
+                        continue
+                    if len(seen) >= 1_000_000:  # only spares work; forgetting is harmless
+                        seen.clear()
+                    seen.add(cid)
+                    keys.append(allocation.keys(tokens))
+                    ids.append(cid)
+                cid = np.repeat(np.array(ids, np.int64), [len(k) for k in keys[1:]])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(cid)], ["key", "cid"])
+
+    return _source(docs).mapInArrow(of_batch, "key long, cid long")
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
@@ -267,34 +284,99 @@ def _bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at, minlength=bits) & 1).tobytes()
 
 
+def _folded(bitmap: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap, or a row of them, at `size` bytes. Bits are numbered by leading bits of the hash: neighbours fold together."""
+    while bitmap.shape[-1] > size:
+        bits = np.unpackbits(bitmap, axis=-1)
+        bitmap = np.packbits(bits[..., ::2] ^ bits[..., 1::2], axis=-1)
+    return bitmap
+
+
 def _apart(x: bytes, y: bytes) -> int:
     """A lower bound on the number of elements that are in one set only."""
     a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-    # Bits are numbered by leading bits of the hash: neighbours fold together.
-    while len(a) != len(b):
-        if len(a) < len(b):
-            a, b = b, a
-        bits = np.unpackbits(a)
-        a = np.packbits(bits[::2] ^ bits[1::2])
-    return int(np.bitwise_count(a ^ b).sum())
-
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum())
+
+
+def block_pairs(left: list[dict], right: list[dict], threshold: int) -> list[tuple[int, int]]:
+    """Pairs across two blocks, of different components, that sizes and bitmaps do not rule out."""
+    rows = [np.array([[r["cid"], r["comp"], r["n"]] for r in side], np.int64) for side in (left, right)]
+    size = min(len(r["bitmap"]) for side in (left, right) for r in side)
+    maps = [
+        np.stack([_folded(np.frombuffer(r["bitmap"], np.uint8), size) for r in side]) for side in (left, right)
+    ]
+    (a, b), out = rows, []
+    for i in range(len(a)):
+        n = b[:, 2] + a[i, 2]
+        open_ = (b[:, 1] != a[i, 1]) & (100 * np.minimum(b[:, 2], a[i, 2]) >= threshold * np.maximum(b[:, 2], a[i, 2]))
+        j = np.flatnonzero(open_)
+        if len(j):
+            least = np.bitwise_count(maps[1][j] ^ maps[0][i]).sum(axis=1, dtype=np.int64)
+            j = j[least <= n[j] * (100 - threshold) // (100 + threshold)]
+            out += [(min(a[i, 0], x), max(a[i, 0], x)) for x in b[j, 0]]
+    return out
+
+
+def pairs_apart(runs: DataFrame, sets: DataFrame, threshold: int, size: int = 64, few: int = 64) -> DataFrame:
+    """All pairs (a, b) of `runs` that share a key and are in different components, but for those that bitmaps rule out.
+
+    Members of a key that up to `few` sets share are paired as rows. Those of a
+    larger one are dealt into blocks of about `size`; a row is a pair of blocks,
+    compared within its task. So a key that n sets share makes rows of a number
+    of (n / size) squared, and only pairs that may be links go on.
+    """
+    count = runs.groupBy("key").agg(F.count("*").alias("members"))
+    counted = written(runs.join(count, "key"), "join-counted")
+    one, two = (counted.where(F.col("members") <= few).select("key", F.col("cid").alias(c), F.col("comp").alias(f"{c}_comp")) for c in "ab")
+    paired = one.join(two, "key").where("a < b and a_comp != b_comp").select("a", "b")
+    placed = counted.where(F.col("members") > few).join(sets.select("cid", "n", "bitmap"), "cid")
+    block = F.pmod(F.xxhash64("cid", "key"), F.ceil(F.col("members") / size))
+    one = F.struct("cid", "comp", "n", "bitmap")
+    blocks = written(placed.groupBy("key", block.alias("block")).agg(F.collect_list(one).alias("rows")), "join-blocks")
+    both = blocks.toDF("key", "i", "left").join(blocks.toDF("key", "j", "right"), "key").where("i <= j")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[tuple[int, int]] = set()
+            for r in _parts([batch], 1):
+                row = r.to_pylist()[0]
+                found.update(block_pairs(row["left"], row["right"], threshold))
+            a, b = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    # Rows are wide: some 20 KB a block.
+    with batches_of(runs.sparkSession, 200):
+        blocked = written(both.select("left", "right").mapInArrow(compare, "a long, b long").distinct(), "join-apart")
+    return paired.union(blocked)
+
+
+def candidate_sets(docs: DataFrame, members: DataFrame, ids: DataFrame) -> DataFrame:
+    """`cid, n, tokens, bitmap` of some sets, from one text of each."""
+    one = members.join(ids, "cid").groupBy("cid").agg(F.min(F.struct("doc_id", "h")).alias("r"))
+    one = written(one.select("r.doc_id", "r.h"), "join-texts")
+    # A checked size: beyond it, both sides are shuffled.
+    wanted = (F.broadcast(one) if one.count() <= MAX_BROADCAST_IDS else one).alias("w")
 
-def with_bitmaps(sets: DataFrame) -> DataFrame:
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
         with np.errstate(over="ignore"):
-            for batch in batches:
-                tokens = [np.frombuffer(t.as_py(), np.uint64) for t in batch.column(1)]
+            for part in _parts(batches, 1000):
+                sets = [shingler.of(t) for t in part.column(2)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0),
-                        batch.column(1),
-                        pa.array([_bitmap(t) for t in tokens], pa.binary()),
-                        pa.array([len(t) for t in tokens], pa.int64()),
+                        pa.array([shingler.known_by(s) for s in sets], pa.int64()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([s.tobytes() for s in sets], pa.binary()),
+                        pa.array([_bitmap(s) for s in sets], pa.binary()),
                     ],
-                    ["cid", "tokens", "bitmap", "n"],
+                    ["cid", "n", "tokens", "bitmap"],
                 )
 
-    return sets.select("cid", "tokens").mapInArrow(of_batch, "cid long, tokens binary, bitmap binary, n long")
+    s = _source(docs).alias("s")
+    texts = s.join(wanted, F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.h") == F.col("w.h")), "left_semi")
+    sets = texts.mapInArrow(of_batch, "cid long, n long, tokens binary, bitmap binary")
+    return written(sets.dropDuplicates(["cid"]), "join-sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -322,7 +404,8 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     near = near.where(100 * F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n"))
     left = written(near.where(may("a_bitmap", "b_bitmap", F.col("a_n") + F.col("b_n"))).select("a", "b"), "join-near")
     both = on(on(left, "a", "tokens").drop("a_n"), "b", "tokens")
-    return written(both.where(exact("a_tokens", "b_tokens")).select("a", "b"), "join-links")
+    with batches_of(pairs.sparkSession, 500):
+        return written(both.where(exact("a_tokens", "b_tokens")).select("a", "b"), "join-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -358,16 +441,13 @@ def _connected(state: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def linked_classes(sets: DataFrame, threshold: int = 75, rounds: int = 4) -> DataFrame:
+def linked_classes(docs: DataFrame, members: DataFrame, threshold: int = 75, rounds: int = 4) -> DataFrame:
     """`cid, comp` of the classes that share a key with another: the classes connected by links."""
-    spark = sets.sparkSession
-    longest = sets.agg(F.max("n_shingles").alias("n")).first().n or 1
-    runs = written(shared_keys(segment_keys(sets, Allocation(threshold, longest))), "join-runs")
+    spark = docs.sparkSession
+    longest = members.agg(F.max("n_shingles").alias("n")).first().n or 1
+    runs = written(shared_keys(segment_keys(docs, Allocation(threshold, longest))), "join-runs")
     ids = written(runs.select("cid").distinct(), "join-ids")
-    # A checked size: beyond it, both sides are shuffled by id.
-    wanted = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-    few = sets.where("tokens is not null").join(wanted, "cid", "left_semi").groupBy("cid").agg(F.first("tokens").alias("tokens"))
-    few = written(with_bitmaps(few), "join-sets")
+    few = candidate_sets(docs, members, ids)
     state = written(ids.select("cid", F.col("cid").alias("comp")), "join-state")
     tested = spark.createDataFrame([], "a long, b long")
     for turn in range(rounds + 1):
@@ -380,12 +460,13 @@ def linked_classes(sets: DataFrame, threshold: int = 75, rounds: int = 4) -> Dat
         if runs.isEmpty():
             break
         if turn < rounds:
-            cross = runs.where("comp != a_comp").select("a", F.col("cid").alias("b"))
+            # Each is compared with the centre that it shares most keys with.
+            shared = runs.where("comp != a_comp").groupBy("cid", "a").agg(F.count("*").alias("n"))
+            best = shared.join(tested_with(tested), ["cid", "a"], "left_anti").groupBy("cid").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+            cross = best.select("a", F.col("cid").alias("b"))
         else:
             # What no star has connected or refuted: members of a key that are in different components.
-            one = runs.select("key", F.col("cid").alias("a"), F.col("comp").alias("a_comp"))
-            two = runs.select("key", F.col("cid").alias("b"), F.col("comp").alias("b_comp"))
-            cross = one.join(two, "key").where("a < b and a_comp != b_comp").select("a", "b")
+            cross = pairs_apart(runs.select("key", "cid", "comp"), few, threshold)
         runs = runs.select("key", "cid")
         cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = written(cross.join(tested, ["a", "b"], "left_anti"), "join-pairs")
@@ -394,10 +475,15 @@ def linked_classes(sets: DataFrame, threshold: int = 75, rounds: int = 4) -> Dat
     return state
 
 
+def tested_with(pairs: DataFrame) -> DataFrame:
+    """Pairs both ways round, as `cid, a`."""
+    return pairs.toDF("cid", "a").union(pairs.select("b", "a").toDF("cid", "a"))
+
+
 def _members(docs: DataFrame, threshold: int) -> DataFrame:
     """`doc_id, h, n_shingles, comp` per row; comp is null for a row without shingles."""
     sets = written(shingle_sets(docs), "join-all")
-    comp = linked_classes(sets, threshold)
+    comp = linked_classes(docs, sets, threshold)
     joined = sets.select("doc_id", "h", "n_shingles", "cid").join(comp, "cid", "left")
     return written(joined.select("doc_id", "h", "n_shingles", F.coalesce("comp", "cid").alias("comp")), "join-members")
 
