@@ -168,6 +168,36 @@ def test_pack_against_plain():
         assert len(final) == n and sum(map(packing.linear_and_square, final)) == pytest.approx(cost, rel=0.2)
 
 
+def test_bins_open_by_what_can_fill_them():
+    cost = packing.linear_and_square
+    placed, final, opened = packing.pack_ahead([3000, 3000, 2000])
+    assert opened == final == [8192] and sum(map(cost, final)) == 12288
+    assert placed == [(0, 0), (0, 3000), (0, 6000)]
+    rng = random.Random(2)
+    above = shrunk = 0
+    for _ in range(100):
+        sizes = sorted((rng.randrange(600, 4000) for _ in range(rng.randrange(1, 60))), reverse=True)
+        plain = sum(map(cost, packing.pack(sizes)[1]))
+        placed, final, opened = packing.pack_ahead(sizes)
+        first = {b: s for s, (b, at) in zip(sizes, placed) if at == 0}
+        above += sum(opened[b] > min(c for c in packing.LENGTHS if c >= s) for b, s in first.items())
+        shrunk += sum(f < o for f, o in zip(final, opened))
+        placed, final = packing.pack_cheapest(sizes)
+        assert sum(map(cost, final)) <= plain
+        ends = Counter()
+        for size, (b, at) in sorted(zip(sizes, placed), key=lambda x: x[1]):
+            assert at == ends[b]
+            ends[b] += size
+        assert [min(c for c in packing.LENGTHS if c >= ends[b]) for b in range(len(final))] == final
+    assert above and shrunk
+    assert packing.pack_cheapest([]) == ([], [])
+
+
+def test_documents_are_packed_at_least_cost(spark):
+    docs = spark.createDataFrame([(i, "x" * n) for i, n in enumerate((3000, 3000, 2000))], "doc_id long, text string")
+    assert {(r.bin_id, r.capacity) for r in packing.pack_documents(docs).collect()} == {(0, 8192)}
+
+
 def test_packing_of_hard_and_empty(hard, empty, hard_rows):
     got = packing.pack_documents(hard, pieces_per_shard=7).collect()
     want = Counter(i for i, _ in hard_rows)
