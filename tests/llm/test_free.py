@@ -287,6 +287,34 @@ def test_secrets_of_hard_and_empty(spark, hard, empty):
     assert secret_forest.scan(spark, one, labelled=labelled).where("secret").count() >= 2
 
 
+def test_corpus_statistics_cover_all_documents(spark):
+    """Neither a common language nor many words keep a rare language out, and pairs count with their frequency."""
+    letters = "bcdfghjklm"
+    common = [f"q{a}{b}{c}{d}" for a in letters for b in letters for c in letters for d in "aeu"]
+    assert len(common) == 3000
+    rows = [(i, " ".join(common), "en") for i in range(5)]
+    rows += [(10 + i, "ober finanz direktion " * (1 + 9 * i), "de") for i in range(2)]
+    rows += [(20, "oberfinanzdirektion", "de"), (21, "oberfinanzdirektion", "en"), (22, "unique", "de"), (23, None, None)]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, lang string, source string")
+    words = secret_forest.word_counts(docs)
+    counted = {(r.lang, r.word): (r.n, r.n_docs) for r in words.collect()}
+    assert counted["de", "ober"] == (11, 2) and counted["en", common[0]] == (5, 5) and len(counted) == 3000 + 6
+    known = secret_forest.dictionary(docs, words)
+    assert {r.word for r in known.where("lang = 'de'").collect()} == {"ober", "finanz", "direktion"}
+    assert known.where("lang = 'en'").count() == 3000
+    pairs = secret_forest.pair_counts(words)
+    plain = Counter(w[i : i + 2] for _, t, _ in rows for w in (t or "").split() for i in range(len(w) - 1))
+    assert pairs == plain
+    # The long word alone stands for a candidate: its language has the parts, the other has not.
+    found = secret_forest.measured(secret_forest.candidates(docs), known, pairs).collect()
+    coverage = {r.doc_id: r.features[secret_forest.FEATURES.index("coverage")] for r in found}
+    assert coverage == {20: 1.0, 21: 0.0}
+    likely = {r.doc_id: r.features[secret_forest.FEATURES.index("pair_likelihood")] for r in found}
+    value, total = "oberfinanzdirektion", sum(plain.values()) + 1
+    want = sum(np.log(plain[value[i : i + 2]] / total) for i in range(len(value) - 1)) / (len(value) - 1)
+    assert likely[20] == pytest.approx(want)
+
+
 def test_coverage():
     m = secret_forest.Measures(["the", "then", "hen"])
     assert m.coverage("thethen") == 1 and m.coverage("xthex") == pytest.approx(3 / 5) and m.coverage("zzzz") == 0
