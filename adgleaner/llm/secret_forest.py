@@ -15,7 +15,7 @@ findings which is which, from
 
 Findings may come labelled; else `labelled_by_format` labels those whose format
 leaves no doubt, and leaves the others to the forest. Training takes at most
-`max_findings` rows. The result holds digests of the values, never the values.
+`max_findings` distinct rows. The result holds digests of the values, never the values.
 
 Defined results: null and empty texts have no findings; with labels of one kind,
 or none, the label's share decides; repeated rows give repeated rows; a null
@@ -239,11 +239,15 @@ class Forest:
     """A fitted forest, or the share of one label where there is nothing to learn."""
 
     def __init__(self, findings: DataFrame, max_findings: int = 4000, trees: int = 20, depth: int = 5, seed: int = 7):
-        """`findings`: features and label. At most `max_findings` / 2 of each label are used, the first by a hash."""
-        known = findings.where("label is not null").select("features", "label")
+        """`findings`: features and label. At most `max_findings` / 2 of each label are used, the first by a hash.
+
+        Findings with equal features and label count once: copies of one neither crowd out others nor weigh more.
+        """
+        known = findings.where("label is not null").select("features", "label").distinct()
         parts = [known.where(F.col("label") == y).orderBy(F.xxhash64("features")).limit(max_findings // 2) for y in (0.0, 1.0)]
         sample = written(parts[0].unionByName(parts[1]), "secret-sample")
         n = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        self.sampled = n
         self.share = n.get(1.0, 0) / max(sum(n.values()), 1)
         self.model = None
         if len(n) == 2:
