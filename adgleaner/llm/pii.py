@@ -9,12 +9,13 @@ all,
     information of an entity   ic(e)  = log(N / c(e))
     what a term tells of it    pmi    = log(c(t, e) * N / (c(t) * c(e)))
 
-where c(t, e) counts documents with the term among the `width` words on either
-side of the entity. A term with pmi >= `generalise_at` * ic(e) discloses the
-entity; from `remove_at` on it is removed, below that it is replaced by
-`[TERM]`. Pairs must be seen in `support` different contexts, so that copies
-of one text prove nothing. Terms are masked in every document that names the
-entity.
+where c(t, e) counts documents that hold both, the term anywhere outside their
+base matches. A term with pmi >= `generalise_at` * ic(e) discloses the entity;
+from `remove_at` on it is removed, below that it is replaced by `[TERM]`. Pairs
+must be seen in `support` different contexts, the `width` words on either side
+of the entity, so that copies of one text prove nothing. Terms are masked in
+every document that names the entity; with `everywhere`, in every document that
+holds them, as the registered query and the pipeline do.
 
 Defined results: null and empty texts have no spans; rows that repeat an id and
 its text are judged alike; matches of one kind never overlap, those of different
@@ -119,11 +120,47 @@ def _base_matches(docs: DataFrame) -> DataFrame:
     cut = F.lit(None)
     for k, p in enumerate(PATTERNS):
         cut = F.when(F.col("kind") == k, F.split(t, p, -1)).otherwise(cut)
-    located = _located(some.select("doc_id", "h", "kind", "matches", cut.alias("gaps")), ["doc_id", "h", "kind"])
-    passes = F.lit(False)
-    for k in range(len(PATTERNS)):
-        passes |= (F.col("kind") == k) & valid(k, F.col("value"))
-    return located.where(passes)
+    cuts = compute_once(some, ["doc_id", "h", "kind", "matches"], gaps=cut)
+    return _located(_valid_only(cuts, ["doc_id", "h", "kind"]), ["doc_id", "h", "kind"])
+
+
+def _valid_only(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """`matches` that count, and as `gaps` all the text between them, matches that do not count included."""
+
+    def passes(value: Column) -> Column:
+        out = F.lit(False)
+        for k in range(len(PATTERNS)):
+            out = F.when(F.col("kind") == k, valid(k, value)).otherwise(out)
+        return out
+
+    n = F.size("matches")
+    judged = compute_once(rows, [*keep, "matches", "gaps"], ok=F.transform("matches", passes))
+    some = judged.where(F.exists("ok", lambda x: x))
+    at = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get("ok", i))
+    follow = F.zip_with("matches", F.slice("gaps", F.lit(2), n), lambda a, b: F.concat(a, b))
+    marked = compute_once(some, [*keep, "matches", "gaps"], at=at, follow=follow)
+
+    def between(last: Column, following: Column) -> Column:
+        """From after one match that counts, or the start, to the next, or the end."""
+        rest = F.array_join(F.slice("follow", last + 2, following - last - 1), "")
+        return F.concat(F.get("gaps", last + 1), rest)
+
+    lasts, nexts = F.concat(F.array(F.lit(-1)), F.col("at")), F.concat(F.col("at"), F.array(n))
+    return marked.select(
+        *keep,
+        F.transform("at", lambda i: F.get("matches", i)).alias("matches"),
+        F.zip_with(lasts, nexts, between).alias("gaps"),
+    )
+
+
+def _without_base(rows: DataFrame) -> DataFrame:
+    """`doc_id, h, t`: the texts with a blank in place of each base match, so that no match is a term of its own entity."""
+    t = F.col("t")
+    for k, p in enumerate(PATTERNS):
+        matches = F.regexp_extract_all(t, F.lit(p), F.lit(0))
+        blanked = F.array_join(F.zip_with(F.split(t, p, -1), matches, _masker(k, " \n ")), "")
+        rows = compute_once(rows, ["doc_id", "h"], t=F.when(t.rlike(p), blanked).otherwise(t))
+    return rows
 
 
 def _terms(text: Column) -> Column:
@@ -137,7 +174,7 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def entity_mentions(keyed: DataFrame, width: int) -> DataFrame:
-    """Base matches with their entity and the terms next to them, written once."""
+    """Base matches with their entity and a hash of the terms next to them, written once."""
     found = _base_matches(keyed)
     plain = F.when(F.col("kind") == 0, F.lower("value")).when(F.col("kind") == 1, F.col("value")).otherwise(_digits(F.col("value")))
     near = F.concat(
@@ -147,7 +184,6 @@ def entity_mentions(keyed: DataFrame, width: int) -> DataFrame:
         found.select(
             "doc_id", "h", "kind", "start", "end",
             F.concat_ws(":", F.col("kind").cast("string"), plain).alias("entity"),
-            F.array_distinct(near).alias("near"),
             F.xxhash64(near).alias("context"),
         ),
         "pii-mentions",
@@ -162,34 +198,48 @@ def disclosing_terms(
     remove_at: float = 0.95,
 ) -> DataFrame:
     """`entity, term, removed`: the terms that disclose an entity, and whether generalising them is too little."""
-    each = mentions.select("entity", "doc_id", "h", "context", F.explode("near").alias("term"))
-    pairs = each.groupBy("entity", "term").agg(
-        F.count_distinct(F.struct("doc_id", "h")).alias("c_te"), F.count_distinct("context").alias("contexts")
+    entities = mentions.groupBy("entity").agg(
+        F.count_distinct(F.struct("doc_id", "h")).alias("c_e"), F.count_distinct("context").alias("contexts")
+    )
+    total = keyed.count()
+    ic = F.log(F.lit(total) / F.col("c_e"))
+    # An entity of fewer contexts has no pair of enough.
+    entities = written(entities.where(F.col("contexts") >= support).where(ic > 0).select("entity", "c_e"), "pii-entities")
+    named = mentions.select("doc_id", "h", "entity", "context").distinct().join(entities, "entity")
+    named = written(named, "pii-named")
+    most = named.agg(F.max("c_e")).first()[0] or 0
+
+    def share(together: str | Column) -> Column:
+        return F.log(together * F.lit(total) / (F.col("c_t") * F.col("c_e"))) / ic
+
+    # A term of more documents than this reaches the share with no entity, even where it is in all of the entity's.
+    bound = total * (most / max(total, 1)) ** generalise_at * (1 + 1e-9)
+    all_terms = keyed.select(F.explode(F.array_distinct(_terms(F.col("t")))).alias("term"))
+    c_t = written(all_terms.groupBy("term").agg(F.count("*").alias("c_t")).where(F.col("c_t") <= bound), "pii-counts")
+    rows = named.select("doc_id", "h").distinct()
+    held = keyed.join(rows, _same_row(keyed, rows), "left_semi").dropDuplicates(["doc_id", "h"])
+    outside = _without_base(held).select("doc_id", "h", F.explode(F.array_distinct(_terms(F.col("t")))).alias("term"))
+    outside = outside.join(c_t, "term")
+    both = named.join(outside, _same_row(named, outside)).select(
+        "entity", "c_e", "term", "c_t", "context", F.struct(named["doc_id"], named["h"]).alias("document")
     )
-    c_e = mentions.groupBy("entity").agg(F.count_distinct(F.struct("doc_id", "h")).alias("c_e"))
-    # A term is in as many documents at least as it is beside any entity. Common words go here, before all texts are read.
-    near = each.groupBy("term").agg(F.count_distinct(F.struct("doc_id", "h")).alias("c_near"))
-    total = F.lit(keyed.count())
-    ic = F.log(total / F.col("c_e"))
-
-    def share(documents: str) -> Column:
-        return F.log(F.col("c_te") * total / (F.col(documents) * F.col("c_e"))) / ic
-
-    likely = pairs.where(F.col("contexts") >= support).join(c_e, "entity").where(ic > 0).join(near, "term")
-    pairs = written(likely.where(share("c_near") >= generalise_at).select("entity", "term", "c_te", "c_e"), "pii-pairs")
-    c_t = (
-        keyed.select(F.explode(F.array_distinct(_terms(F.col("t")))).alias("term"))
-        .join(pairs.select("term").distinct(), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count("*").alias("c_t"))
+    # The same bound for the pair's own entity.
+    both = both.where(share(F.least("c_e", "c_t")) >= generalise_at)
+    pairs = both.groupBy("entity", "c_e", "term", "c_t").agg(
+        F.count_distinct("document").alias("c_te"), F.count_distinct("context").alias("contexts")
     )
-    judged = pairs.join(c_t, "term").select("entity", "term", share("c_t").alias("share")).where(F.col("share") >= generalise_at)
+    judged = pairs.where(F.col("contexts") >= support).select("entity", "term", share(F.col("c_te")).alias("share"))
+    judged = judged.where(F.col("share") >= generalise_at)
     return written(judged.select("entity", "term", (F.col("share") >= remove_at).alias("removed")), "pii-terms")
 
 
-def document_terms(mentions: DataFrame, disclosing: DataFrame) -> DataFrame:
+def document_terms(keyed: DataFrame, mentions: DataFrame, disclosing: DataFrame, everywhere: bool) -> DataFrame:
     """`doc_id, h, terms`: what to mask in each document beyond its base matches."""
-    named = mentions.select("doc_id", "h", "entity").distinct().join(disclosing, "entity")
+    if everywhere:
+        held = keyed.select("doc_id", "h", F.explode(F.array_distinct(_terms(F.col("t")))).alias("term"))
+        named = held.join(disclosing.groupBy("term").agg(F.max("removed").alias("removed")), "term")
+    else:
+        named = mentions.select("doc_id", "h", "entity").distinct().join(disclosing, "entity")
     strict = named.groupBy("doc_id", "h", "term").agg(F.max("removed").alias("removed"))
     return written(
         strict.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(F.struct("term", "removed"))).alias("terms")),
@@ -206,11 +256,11 @@ def _same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["h"] == b["h"])
 
 
-def _masker(kind: int):
+def _masker(kind: int, mask: str | None = None):
     """The text before a match, and the match, masked if it counts; nothing after the last gap."""
 
     def masked(gap: Column, match: Column) -> Column:
-        return F.concat(gap, F.when(match.isNull(), "").when(valid(kind, match), MASKS[kind]).otherwise(match))
+        return F.concat(gap, F.when(match.isNull(), "").when(valid(kind, match), mask or MASKS[kind]).otherwise(match))
 
     return masked
 
@@ -218,12 +268,14 @@ def _masker(kind: int):
 class Scan:
     """The tables of one scan: `mentions`, `disclosing` and `terms` by document."""
 
-    def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, **options):
+    def __init__(
+        self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, everywhere: bool = False, **options
+    ):
         self.docs, self.doc_id, self.text = docs, doc_id, text
         self.keyed = _keyed(docs, doc_id, text)
         self.mentions = entity_mentions(self.keyed, width)
         self.disclosing = disclosing_terms(self.keyed, self.mentions, **options)
-        self.terms = document_terms(self.mentions, self.disclosing)
+        self.terms = document_terms(self.keyed, self.mentions, self.disclosing, everywhere)
 
     def spans(self) -> DataFrame:
         """`doc_id, base, all`: sorted arrays of (kind, start, end) per row."""

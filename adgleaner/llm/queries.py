@@ -27,7 +27,7 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = pii.Scan(table(spark, sf_dir, "documents")).spans()
+    spans = pii.Scan(table(spark, sf_dir, "documents"), everywhere=True).spans()
     counts = [pii.count_of(F.col("base"), kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS[:4]]
     base = pii.span_text(F.col("base"))
     return spans.select(

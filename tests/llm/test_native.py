@@ -161,6 +161,24 @@ def test_terms_that_disclose(spark):
     assert [tuple(x) for x in spans[60]["all"] if x.kind < 4] == [tuple(x) for x in spans[60].base]
 
 
+def test_terms_far_away_and_in_other_documents(spark):
+    """Terms may stand far from the entity, after numbers that are no cards, and in documents without it."""
+    far = " ".join(f"between{k}" for k in range(20))
+    named = [f"Quillfeather case 12 34 {i}. {far} {i} 2024 to quill@clinic.org about {i} things" for i in range(4)]
+    filler = [f"plain text number {i} with between{i % 20} " + far for i in range(60)]
+    rows = list(enumerate([*named, *filler, "Quillfeather alone", "John Smith 2024 card 4111111111111111 end"]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scan = pii.Scan(df, everywhere=True)
+    found = {r.term for r in scan.disclosing.where("entity = '0:quill@clinic.org'").collect()}
+    assert "quillfeather" in found and "between3" not in found and not {"quill", "clinic"} & found
+    text = {r.doc_id: r.text for r in scan.sanitised().collect()}
+    assert "Quillfeather" not in " ".join(text.values()) and text[64].endswith("alone") and text[10] == rows[10][1]
+    spans = {r.doc_id: r for r in scan.spans().collect()}
+    assert [tuple(x) for x in spans[64]["all"]] == [(4, 0, 12)] and not spans[64].base
+    card = pii._base_matches(pii._keyed(df.where("doc_id = 65"), "doc_id", "text")).collect()
+    assert [(r.start, r.end, r.before, r.after) for r in card if r.kind == 2] == [(21, 37, "John Smith 2024 card ", " end")]
+
+
 LETTERS = regex.compile(r"[\p{L}\p{N}]+")
 
 
