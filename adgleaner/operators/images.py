@@ -1,7 +1,9 @@
 """Images: fetch each distinct address once, and join the path back to all listings."""
 
 from collections.abc import Callable, Iterator
-from concurrent.futures import Future, ThreadPoolExecutor
+from queue import Empty, SimpleQueue
+from threading import Thread
+from time import monotonic
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -50,7 +52,8 @@ def fetch_with(
     A stored image is not loaded again; an address that fails, or that takes more
     than `timeout` seconds, gives a NULL path. Addresses are few bytes, so they are
     dealt out to `tasks` tasks (by default, as many as shuffles have partitions) that
-    are not merged by size, and each task loads `threads` at a time.
+    are not merged by size, and each task loads `threads` at a time. The time of a load
+    counts from its own start, and one that hangs gives its place to the next address.
     """
 
     def one(address: str, path: str) -> str | None:
@@ -61,22 +64,35 @@ def fetch_with(
         except Exception:
             return None
 
-    def done(future: Future) -> str | None:
-        try:
-            return future.result(timeout)
-        except TimeoutError:
-            return None
+    def loaded(todo: list[tuple[str, str]]) -> list[str | None]:
+        out: list[str | None] = [None] * len(todo)
+        ready: SimpleQueue = SimpleQueue()
+        limits: dict[int, float] = {}  # of the loads that run, the earliest first
+
+        def run(i: int) -> None:
+            ready.put((i, one(*todo[i])))
+
+        following = iter(range(len(todo)))
+        while True:
+            while len(limits) < threads and (i := next(following, None)) is not None:
+                limits[i] = monotonic() + timeout
+                # A load that hangs must not hold the task.
+                Thread(target=run, args=(i,), daemon=True).start()
+            if not limits:
+                return out
+            first = next(iter(limits))
+            try:
+                i, path = ready.get(timeout=max(limits[first] - monotonic(), 0))
+            except Empty:
+                del limits[first]
+                continue
+            if limits.pop(i, None) is not None:
+                out[i] = path
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pool = ThreadPoolExecutor(threads)
-        try:
-            for batch in batches:
-                futures = [pool.submit(one, a, p) for a, p in zip(batch["image"], batch["image_path"])]
-                batch["image_path"] = [done(f) for f in futures]
-                yield batch
-        finally:
-            # A load that hangs must not hold the task.
-            pool.shutdown(wait=False, cancel_futures=True)
+        for batch in batches:
+            batch["image_path"] = loaded(list(zip(batch["image"], batch["image_path"])))
+            yield batch
 
     def fetch(images: DataFrame) -> DataFrame:
         named = images.select("image", "image_id", "n_rows", image_file(folder, F.col("image_id")).alias("image_path"))

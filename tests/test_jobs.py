@@ -1,5 +1,6 @@
 """Readers, writers, streams and whole jobs on files."""
 
+import time
 from datetime import datetime
 
 import pytest
@@ -287,3 +288,15 @@ def test_stream_keeps_one_page_per_text(spark, tmp_path):
     query.stop()
     batch = dedupe.first_texts(pg.admit(pg.read_pages(pg.decode_pages(raw(spark)))))
     assert table(spark.table("texts")) == table(batch.select("text_key"))
+
+
+def test_loads_that_hang_do_not_drop_other_addresses(spark):
+    def load(address):
+        if address.startswith("dead"):
+            time.sleep(20)
+        return b"x"
+
+    rows = spark.createDataFrame([(f"{k}{i}", f"{k}{i}") for k in ("dead", "fine") for i in range(6)], "id string, image string")
+    fetch = im.fetch_with(load, lambda path, data: None, "imgs", tasks=1, threads=2, timeout=0.5)
+    got = {r.image: r.image_path for r in fetch(im.distinct_images(rows)).collect()}
+    assert got == {f"{k}{i}": f"imgs/{k}{i}.png" if k == "fine" else None for k in ("dead", "fine") for i in range(6)}
