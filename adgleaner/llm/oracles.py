@@ -106,9 +106,34 @@ WITH i AS (
 SELECT doc_id, item_id, n_shared, n_item FROM shared JOIN size USING (item_id) WHERE 100 * n_shared >= 75 * n_item
 """
 
+EARLIER_PASSAGES = r"""
+WITH cut AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), places AS (
+  SELECT r, doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM cut
+), windows AS (
+  SELECT r, doc_id, i, md5(array_to_string(ws[i : i + 49], ' ')) AS w FROM places WHERE i + 49 <= len(ws)
+), least AS (
+  SELECT w, min(doc_id) AS owner FROM windows GROUP BY w
+), begun AS (
+  SELECT r, i FROM windows JOIN least USING (w) WHERE owner < doc_id
+), judged AS (
+  SELECT p.r, p.i, p.ws[p.i] AS word,
+         coalesce(max(b.i) OVER (PARTITION BY p.r ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+  FROM places p LEFT JOIN begun b ON p.r = b.r AND p.i = b.i
+), kept AS (
+  SELECT r, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS text
+  FROM judged GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM cut LEFT JOIN kept k USING (r)
+"""
+
 ORACLES = {
     "op3_licences": LICENCES,
     "op7_warc": WARC,
     "op9_jaccard_join": JACCARD,
     "op10_decontamination": DECONTAMINATION,
+    "op11_prefix_trees": EARLIER_PASSAGES,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adgleaner.llm import classifier, decontaminate, jaccard_join, licences, packing, pii, quality_rules
-from adgleaner.llm import secret_forest, suffix_dedup, warc
+from adgleaner.llm import prefix_trees, secret_forest, suffix_dedup, warc
 from adgleaner.llm.common import table
 from adgleaner.llm.oracles import ORACLES
 
@@ -61,6 +61,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = prefix_trees.removed(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -76,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secrets,
         op9_jaccard_join,
         op10_decontamination,
+        op11_prefix_trees,
     )
 }
