@@ -130,10 +130,41 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_r
 FROM cut LEFT JOIN kept k USING (r)
 """
 
+_TERMS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+SEARCH = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS ts FROM documents
+), q AS (
+  SELECT item_id, t, count(*) AS often
+  FROM (SELECT item_id, unnest({_TERMS}) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, t
+), whole AS (
+  SELECT count(*) AS n, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0
+), tf AS (
+  SELECT r, doc_id, len(ts) AS n, t, count(*) AS tf
+  FROM (SELECT r, doc_id, ts, unnest(ts) AS t FROM d) GROUP BY r, doc_id, ts, t
+), df AS (
+  SELECT t, count(*) AS df FROM tf GROUP BY t
+), w AS (
+  SELECT t, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM df, whole
+), scored AS (
+  SELECT q.item_id, tf.r, tf.doc_id,
+         sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * tf.n * whole.n) // whole.l))))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t), whole GROUP BY q.item_id, tf.r, tf.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLES = {
     "op3_licences": LICENCES,
     "op7_warc": WARC,
     "op9_jaccard_join": JACCARD,
     "op10_decontamination": DECONTAMINATION,
     "op11_prefix_trees": EARLIER_PASSAGES,
+    "op13_mask_search": SEARCH,
 }
