@@ -160,11 +160,57 @@ WITH d AS (
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
 """
 
+TRIE = """
+WITH RECURSIVE bits(b, i, v) AS (
+  SELECT b, 0, b FROM range(256) t(b)
+  UNION ALL
+  SELECT b, i + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE i < 8
+), crc_table AS (
+  SELECT b, v FROM bits WHERE i = 8
+), ids AS (
+  SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL
+), crc(c, k, v) AS (
+  SELECT c, 0, 4294967295 FROM ids
+  UNION ALL
+  SELECT c, k + 1, xor(crc_table.v, crc.v >> 8) FROM crc
+  JOIN crc_table ON crc_table.b = xor(crc.v & 255, ascii(substr(c::VARCHAR, k + 1, 1))) WHERE k < length(c::VARCHAR)
+), h AS (
+  SELECT c, xor(v, 4294967295) % 6 AS h FROM crc WHERE k = length(c::VARCHAR)
+), turns AS (
+  SELECT conv_id AS c, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS ts
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+  WHERE conv_id IS NOT NULL GROUP BY conv_id
+), rebuilt AS (
+  SELECT t.c, list_concat(coalesce(b.ts[1:h.h], []), t.ts[h.h + 1:]) AS ts
+  FROM turns t JOIN h ON h.c = t.c LEFT JOIN turns b ON b.c = t.c - t.c % 100
+), steps AS (
+  SELECT c, len(ts) AS length, d, ts[1:d] AS p, CASE WHEN d = 0 THEN 0 ELSE length(ts[d].text) END AS size
+  FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE length = d), '')) AS ends_sha256
+  FROM steps GROUP BY p, d
+), tied AS (
+  SELECT n.*, up.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes up ON n.d > 0 AND up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]
+), children AS (
+  SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n FROM tied WHERE d > 0 GROUP BY 1, 2
+), weighed AS (
+  SELECT t.*, coalesce(n, 0) AS n_children FROM tied t LEFT JOIN children ch ON ch.conv_id = t.conv_id AND ch.d = t.d
+), sums AS (
+  SELECT a.p, a.d, sum((b.n_children = 0)::BIGINT) AS n_leaves, sum((b.n_convs - 1) * b.size) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM weighed) b JOIN nodes a ON a.d = b.k AND a.p = b.p[1:b.k] GROUP BY a.p, a.d
+)
+SELECT w.conv_id, w.d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM weighed w JOIN sums s ON s.p = w.p AND s.d = w.d
+"""
+
 ORACLES = {
     "op3_licences": LICENCES,
     "op7_warc": WARC,
     "op9_jaccard_join": JACCARD,
     "op10_decontamination": DECONTAMINATION,
     "op11_prefix_trees": EARLIER_PASSAGES,
+    "op12_prefix_trie": TRIE,
     "op13_mask_search": SEARCH,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adgleaner.llm import classifier, decontaminate, jaccard_join, licences, mask_search, packing, pii, quality_rules
-from adgleaner.llm import prefix_trees, secret_forest, suffix_dedup, warc
+from adgleaner.llm import prefix_trees, prefix_trie, secret_forest, suffix_dedup, warc
 from adgleaner.llm.common import table
 from adgleaner.llm.oracles import ORACLES
 
@@ -66,6 +66,10 @@ def op11_prefix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.summary(table(spark, sf_dir, "conversations"))
+
+
 def op13_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_jaccard_join,
         op10_decontamination,
         op11_prefix_trees,
+        op12_prefix_trie,
         op13_mask_search,
     )
 }
