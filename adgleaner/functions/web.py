@@ -136,5 +136,12 @@ def site(domain_: Column) -> Column:
 
 
 def retrieved(fetch_time: Column) -> Column:
-    """ISO time of epoch milliseconds (the session time zone is UTC)."""
-    return F.date_format(F.timestamp_millis(fetch_time), "yyyy-MM-dd'T'HH:mm:ss.SSSxx")
+    """ISO time of epoch milliseconds in UTC, whatever the time zone of the session."""
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(fetch_time / 86_400_000).cast("int"))
+    rest = F.pmod(fetch_time, F.lit(86_400_000))
+
+    def digits(unit: int, of: int, width: int) -> Column:
+        return F.lpad(F.floor(rest / unit % of).cast("string"), width, "0")
+
+    clock = F.concat_ws(":", digits(3_600_000, 24, 2), digits(60_000, 60, 2), digits(1000, 60, 2))
+    return F.concat(day.cast("string"), F.lit("T"), clock, F.lit("."), digits(1, 1000, 3), F.lit("+0000"))

@@ -27,11 +27,12 @@ def with_candidates(pages: DataFrame, rules: DataFrame | None = None, keep: tupl
     """Pages with `candidates` in place of `html`."""
     carried = [*_PAGE_COLUMNS, *keep]
     with_rule = rl.with_rules(pages, rules) if rules is not None else pages.withColumn("rules", F.lit(None))
-    trees = with_rule.withColumn("tree", page_tree(F.col("html"), F.col("url"), F.col("site")))
+    bodies = compute_once(with_rule, with_rule.columns, ld_bodies=md.json_ld_bodies(F.col("html")))
+    tree = page_tree(F.col("html"), F.col("url"), F.col("site"), md.unparsed(F.col("ld_bodies")))
     parsed = compute_once(
-        trees,
+        bodies.withColumn("tree", tree),
         [*carried, "site", "tree"],
-        ld_items=md.json_ld_items(F.col("html")),
+        ld_items=md.json_ld_items(F.coalesce("tree.bodies", "ld_bodies")),
         metas=md.meta_elements(F.col("html")),
         by_rule=rl.rule_products(F.col("html"), F.col("rules")) if rules is not None else md.no_candidates(),
     )

@@ -5,6 +5,7 @@ on Arrow batches, and only for pages that hold such markup.
 """
 
 import json
+import re
 import sys
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -38,6 +39,7 @@ TREE_RESULT = T.StructType(
         T.StructField("items", T.ArrayType(T.StringType())),
         T.StructField("seller_block", T.StringType()),
         T.StructField("location_block", T.StringType()),
+        T.StructField("bodies", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -89,7 +91,8 @@ class _TreeReader(HTMLParser):
         self.open_kinds = []
         self.seller = None
         self.location = None
-        self.counts = {}
+        # Where in the stack elements of each name are open.
+        self.places = {}
         # For `itemref`: items that name elements, and the properties found below each id outside of items.
         self.referring = []
         self.by_id = {}
@@ -109,8 +112,8 @@ class _TreeReader(HTMLParser):
             self._seller_part(entry)
         if tag in _EMPTY_ELEMENTS:
             return
+        self.places.setdefault(tag, []).append(len(self.stack))
         self.stack.append(entry)
-        self.counts[tag] = self.counts.get(tag, 0) + 1
         if entry.item is not None:
             self.open_items.append(entry.item)
         if entry.text is not None:
@@ -121,20 +124,14 @@ class _TreeReader(HTMLParser):
     def _end_implied(self, tag):
         """Close what a start tag ends without an end tag of its own."""
         ended, within = _ENDED_BY.get(tag, ((), ()))
-        while any(self.counts.get(t) for t in ended):
-            at = None
-            for i in range(len(self.stack) - 1, -1, -1):
-                open_tag = self.stack[i].tag
-                if open_tag in ended:
-                    at = i
-                    break
-                if open_tag in within or open_tag in _SCOPE:
-                    break
-            if at is None:
-                return
+        # The innermost of each name is enough, so that no tag looks through the stack.
+        while (at := self._innermost(ended)) > max(self._innermost(within), self._innermost(_SCOPE.difference(ended))):
             while len(self.stack) > at:
                 self._leave()
 
+    def _innermost(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def _microdata(self, entry, attr):
         owner = self.open_items[-1] if self.open_items else self._loose(entry)
         names = attr.get("itemprop", "").split()
@@ -190,8 +187,8 @@ class _TreeReader(HTMLParser):
             entry.text = entry.text if entry.text is not None else []
 
     def handle_endtag(self, tag):
-        # A count per name tells a stray end tag without a look at the stack.
-        if self.counts.get(tag):
+        # What is open by name tells a stray end tag without a look at the stack.
+        if self.places.get(tag):
             while self._leave() != tag:
                 pass
 
@@ -202,7 +199,7 @@ class _TreeReader(HTMLParser):
 
     def _leave(self) -> str:
         entry = self.stack.pop()
-        self.counts[entry.tag] -= 1
+        self.places[entry.tag].pop()
         if entry.item is not None:
             self.open_items.pop()
         if entry.text is not None:
@@ -264,19 +261,32 @@ def _as_json(item: dict) -> str | None:
         return None
 
 
+def plain_json(body: str) -> str | None:
+    """JSON that every reader takes: of a repeated key the last counts, as in browsers; a line break counts as a space."""
+    try:
+        return json.dumps(json.loads(re.sub(r"[\x00-\x1f]", " ", body)), ensure_ascii=False)
+    except (ValueError, RecursionError):
+        return None
+
+
 @F.arrow_udf(TREE_RESULT)
-def _read_trees(html: pa.Array, base: pa.Array) -> pa.Array:
+def _read_trees(html: pa.Array, base: pa.Array, bodies: pa.Array) -> pa.Array:
     nothing = ([], None, None)
     rows = [read_tree(h, b) if h is not None else nothing for h, b in zip(html.to_pylist(), base.to_pylist())]
     items, sellers, locations = zip(*rows) if rows else ((), (), ())
+    plain = [b and [plain_json(x) for x in b] for b in bodies.to_pylist()]
+    texts = pa.list_(pa.string())
     return pa.StructArray.from_arrays(
-        [pa.array(items, pa.list_(pa.string())), pa.array(sellers, pa.string()), pa.array(locations, pa.string())],
-        ["items", "seller_block", "location_block"],
+        [pa.array(items, texts), pa.array(sellers, pa.string()), pa.array(locations, pa.string()), pa.array(plain, texts)],
+        ["items", "seller_block", "location_block", "bodies"],
     )
 
 
-def page_tree(html: Column, url: Column, site: Column) -> Column:
-    """Struct (items, seller_block, location_block). Other pages never leave the JVM."""
+def page_tree(html: Column, url: Column, site: Column, bodies: Column) -> Column:
+    """Struct (items, seller_block, location_block, bodies). Other pages never leave the JVM.
+
+    `bodies` are JSON texts that did not parse as they are, or NULL; they come back as plain JSON.
+    """
     markup = html.rlike("(?i)itemscope")
     wanted = markup | F.contains(site, F.lit("ebay"))
-    return _read_trees(F.when(wanted, html), F.when(wanted, url))
+    return _read_trees(F.when(wanted, html), F.when(wanted, url), bodies)

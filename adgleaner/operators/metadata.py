@@ -106,18 +106,27 @@ _SCRIPT = r"(?is)<!--.*?(?:-->|\z)|<script\b([^>]*+)(?:>|\z)(.*?)(?:</script\s*>
 _WRAPPER = r"^(?:<!--|(?://\s*)?<!\[CDATA\[)|(?://\s*)?(?:-->|\]\]>)$"
 
 
-def json_ld_items(html: Column) -> Column:
-    """All top-level JSON-LD items of a page as variants; a list counts item by item."""
+def json_ld_bodies(html: Column) -> Column:
+    """The JSON-LD texts of a page; NULL if it has none."""
     parts = [F.regexp_extract_all(html, F.lit(_SCRIPT), F.lit(i)) for i in (1, 2)]
     body = F.zip_with(*parts, lambda kind, b: F.when(kind.rlike(r"(?i)application/ld\+json"), b))
     found = F.when(html.rlike(r"(?i)ld\+json"), F.filter(body, lambda b: b.isNotNull()))
-    bodies = F.transform(found, lambda b: F.regexp_replace(tx.strip(b), _WRAPPER, ""))
+    return F.transform(found, lambda b: tx.strip(F.regexp_replace(tx.strip(b), _WRAPPER, "")))
+
+
+def _parsed(body: Column) -> Column:
+    # Many sites break lines within a text, which strict JSON does not allow.
+    return F.coalesce(F.try_parse_json(body), F.try_parse_json(F.regexp_replace(body, r"[\x00-\x1f]", " ")))
 
-    def parse(body: Column) -> Column:
-        # Many sites break lines within a text, which strict JSON does not allow.
-        return F.coalesce(F.try_parse_json(body), F.try_parse_json(F.regexp_replace(body, r"[\x00-\x1f]", " ")))
 
-    parsed = F.filter(F.transform(bodies, lambda b: parse(tx.strip(b))), lambda v: v.isNotNull())
+def unparsed(bodies: Column) -> Column:
+    """The texts, if one of them does not parse; it may repeat a key, which browsers allow."""
+    return F.when(F.exists(bodies, lambda b: _parsed(b).isNull()), bodies)
+
+
+def json_ld_items(bodies: Column) -> Column:
+    """All top-level JSON-LD items of a page as variants; a list counts item by item."""
+    parsed = F.filter(F.transform(bodies, _parsed), lambda v: v.isNotNull())
     return F.flatten(F.transform(parsed, _as_list))
 
 

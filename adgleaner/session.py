@@ -16,8 +16,6 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot does not compile larger methods; such stages run operator by operator.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Of a key that a JSON object repeats, the last counts, as in browsers.
-    "spark.sql.variant.allowDuplicateKeys": "true",
     # Stream state on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -1,11 +1,12 @@
 """Crawl records with the faults that ordinary crawl pages have, one page per part.
 
-Variant = part key % 10:
+Variant = part key % 10, or 10 where part key % 20 is 10:
 0 a `<meta` of 4 KB without a value   1 camel case, a bad link, a broken declaration
 2 paragraphs that are never closed    3 JSON-LD in a comment, and a live one
 4 a repeated key, a price as 1.5e7    5 an attribute within the value of another
 6 references without a semicolon, a stray quote   7 a price within a description
 8 a negative price, a hidden script   9 windows-1251
+10 an open paragraph behind a button, many inline and block elements
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,12 +27,13 @@ _PAGES = {
     7: """concat('<meta name="description" content="Our price = 5 only">page ', p)""",
     8: """concat('<script type="application/ld+json"><!-- {"@type":"Product","name":"', n, '","offers":{"price":-', p + 1,
           '}} --></script>page ', p)""",
+    10: "concat('<div itemscope><p itemprop=name>', n, '<button>', repeat('<b>', 2000), repeat('<div>', 2000), ' page ', p)",
     9: "concat('<meta charset=windows-1251>@ ', p)",
 }
 
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("p"), F.expr("p_partkey % 10").alias("v"), F.col("p_name").alias("n"))
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("p"), F.expr("CASE p_partkey % 20 WHEN 10 THEN 10 ELSE p_partkey % 10 END").alias("v"), F.col("p_name").alias("n"))
     html = F.expr("CASE v " + " ".join(f"WHEN {v} THEN {sql}" for v, sql in _PAGES.items()) + " END")
     russian = F.lit("Привет".encode("cp1251"))
     before, after = F.split_part(html, F.lit("@"), F.lit(1)), F.split_part(html, F.lit("@"), F.lit(2))

@@ -304,13 +304,13 @@ WITH {_BY_FIELD}, ranged AS (
 SELECT url, count(*) AS n_rows FROM ranged WHERE turn = 1 GROUP BY url
 """
 ORACLES["hostile_pages"] = """
-WITH p AS (SELECT p_partkey AS p, p_partkey % 10 AS v, p_name AS n FROM part)
+WITH p AS (SELECT p_partkey AS p, CASE p_partkey % 20 WHEN 10 THEN 10 ELSE p_partkey % 10 END AS v, p_name AS n FROM part)
 SELECT 'https://www.shop.com/' || p || '?a={b}|c' AS url,
   CASE v WHEN 6 THEN 'a' || chr(160) || p || ' © 2020 ' || chr(8217) || ' KEEP ' || p || 'don''t a>b'
          WHEN 1 THEN 'q' || n || ' page ' || p WHEN 2 THEN n || p || ' page ' || p
-         WHEN 9 THEN 'Привет ' || p ELSE 'page ' || p END AS text,
-  CASE WHEN v IN (6, 7, 9) THEN 'page' WHEN v IN (1, 2) THEN 'microdata' WHEN v IN (0, 5) THEN 'opengraph' ELSE 'json-ld' END AS origin,
-  CASE v WHEN 0 THEN n WHEN 1 THEN n WHEN 2 THEN n WHEN 3 THEN 'live ' || p WHEN 4 THEN 'second ' || p
+         WHEN 10 THEN n || ' page ' || p WHEN 9 THEN 'Привет ' || p ELSE 'page ' || p END AS text,
+  CASE WHEN v IN (6, 7, 9) THEN 'page' WHEN v IN (1, 2, 10) THEN 'microdata' WHEN v IN (0, 5) THEN 'opengraph' ELSE 'json-ld' END AS origin,
+  CASE v WHEN 0 THEN n WHEN 1 THEN n WHEN 2 THEN n WHEN 10 THEN n || ' page ' || p WHEN 3 THEN 'live ' || p WHEN 4 THEN 'second ' || p
          WHEN 5 THEN 'a property=b ' || p WHEN 8 THEN n END AS name,
   CASE v WHEN 2 THEN CAST(p AS DOUBLE) WHEN 4 THEN 15000000.0 WHEN 8 THEN -1.0 - p END AS price
 FROM p

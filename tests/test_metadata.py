@@ -1,19 +1,20 @@
 """Metadata extractors: one small page per branch."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from adgleaner.operators import metadata as md, rules as rl
-from adgleaner.operators.markup import read_tree
+from adgleaner.operators.markup import page_tree, read_tree
 from adgleaner.operators.shape import compute_once
 
 
 def json_ld(spark, *items, body=None):
     html = "".join(f'<script type="application/ld+json">{b}</script>' for b in (body or [json.dumps(i) for i in items]))
     df = spark.createDataFrame([(html,)], "html string")
-    found = df.select(F.explode(md.json_ld_products(md.json_ld_items(F.col("html")))).alias("c")).select("c.*")
+    found = df.select(F.explode(md.json_ld_products(md.json_ld_items(md.json_ld_bodies(F.col("html"))))).alias("c")).select("c.*")
     return [r.asDict() for r in found.collect()]
 
 
@@ -201,7 +202,9 @@ def test_metadata_of_hostile_pages(spark):
         "<meta property" + " a" * 100_000: [],
     }
     pages = spark.createDataFrame([(h,) for h in rows], "html string")
-    cut = compute_once(pages, ["html"], ld=md.json_ld_items(F.col("html")), metas=md.meta_elements(F.col("html")))
+    bodies = pages.select("html", md.json_ld_bodies(F.col("html")).alias("b"))
+    trees = bodies.withColumn("t", page_tree(F.col("html"), F.lit("u"), F.lit("s"), md.unparsed(F.col("b"))))
+    cut = compute_once(trees, ["html"], ld=md.json_ld_items(F.coalesce("t.bodies", "b")), metas=md.meta_elements(F.col("html")))
     found = compute_once(
         cut, ["html"], c=F.concat(md.json_ld_products(F.col("ld")), md.open_graph_products(F.col("metas")), md.dublin_core_products(F.col("metas")))
     )
@@ -242,3 +245,27 @@ def test_rules(spark):
     assert found["<h1>x</h1>"] == [("x", None, None)]
     assert found["nothing"] == [(None, None, None)]
     assert [v for k, v in found.items() if k.startswith("<h1>a")] == [[("a & b", 5.0, "Peru")]]
+
+
+def test_repeated_keys_need_no_session_setting(spark):
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") == "false"
+    body = '{"@type":"Product","name":"a","name":"b","offers":{"price":1,"price":"2,5","price":"3.5"}}'
+    html = f'<script type="application/ld+json">{body}</script>' + '<script type="application/ld+json">{"@type":"Product","name":"c"}</script>'
+    pages = spark.createDataFrame([(html,)], "html string")
+    bodies = pages.select("html", md.json_ld_bodies(F.col("html")).alias("b"))
+    tree = page_tree(F.col("html"), F.lit("u"), F.lit("s"), md.unparsed(F.col("b")))
+    items = bodies.select("b", tree.alias("t")).select(md.json_ld_items(F.coalesce("t.bodies", "b")).alias("i"))
+    got = items.select(F.explode(md.json_ld_products(F.col("i"))).alias("c")).select("c.name", "c.price").collect()
+    assert [tuple(r) for r in got] == [("b", 3.5), ("c", None)]
+
+
+def test_open_paragraphs_take_linear_time():
+    def seconds(n):
+        page = "<div itemscope><p><button>" + "<b>" * n + "<div>" * n
+        start = time.perf_counter()
+        read_tree(page, "")
+        return time.perf_counter() - start
+
+    seconds(1000)
+    once, twice = min(seconds(20_000) for _ in range(3)), min(seconds(40_000) for _ in range(3))
+    assert twice < 3 * once and twice < 5
