@@ -20,9 +20,9 @@ from adgleaner import schema
 from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im
 from adgleaner.operators import listings as ls, pages as pg
 from adgleaner.operators.shape import spread
-from adgleaner.sources import readers, sinks
+from adgleaner.sources import index, readers, sinks
 from adgleaner.streaming.crawl import stream_crawl_files
-from adgleaner.streaming.windows import in_run, window_of
+from adgleaner.streaming.windows import in_run, run_end, window_of
 
 
 @dataclass(frozen=True)
@@ -166,6 +166,11 @@ def index_listings(
     return _index_listings(_index_pages(hits, start, end, options), options)
 
 
+def indexed_hits(spark: SparkSession, path: str, start: datetime, end: datetime) -> DataFrame:
+    """Search hits of a run from a segment index; segments of other times are not opened."""
+    return index.as_hits(index.read_index(spark, path, start, run_end(start, end)))
+
+
 def index_job(
     hits: DataFrame, start: datetime, end: datetime, target: str, options: JobOptions = JobOptions(collapse="fields")
 ) -> None:

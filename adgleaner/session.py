@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot does not compile larger methods; such stages run operator by operator.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Filters reach the index source (`sources.index`), which else knows only the range it is given.
+    "spark.sql.python.filterPushdown.enabled": "true",
     # Stream state on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -285,6 +285,8 @@ SELECT r.url, r.title, r.retrieved, c.name, c.image, c.price, {_NAMED_LOCATION.r
   strftime(window_start, 'data_%b_%d/') AS image_folder, 'images-' || lower(strftime(window_start, '%b')) AS image_bucket
 FROM ranged r LEFT JOIN found c USING (p, crawl) WHERE turn = 1
 """
+for _name in ("scan", "listings"):
+    ORACLES[f"segment_index_{_name}"] = ORACLES[f"index_{_name}"]
 ORACLES["crawl_files_by_run"] = f"""
 WITH {_AD}, found AS (
   SELECT *, 'run' || crawl AS run FROM page)

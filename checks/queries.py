@@ -13,7 +13,7 @@ from adgleaner.operators import listings as ls, pages as pg, places, rules as rl
 from adgleaner.operators.shape import compute_once, spread
 from adgleaner.plans import jobs
 from adgleaner.session import shared_folder
-from adgleaner.sources import readers, sinks
+from adgleaner.sources import index, readers, sinks
 from adgleaner.streaming import windows
 from checks import ads, hostile
 from checks.ads import read
@@ -313,6 +313,32 @@ def index_listings(spark, sf_dir):
     )
 
 
+def _segments(spark, sf_dir) -> str:
+    """The hits as an index of two loads, in twelve segments."""
+    path, hits = shared_folder(spark, "segments"), im.stored(_index_hits(spark, sf_dir), shared_folder(spark, "hits"))
+    late = F.col("_source.retrieved") >= "2023-02-10T18"
+    for load, part in (("early", hits.where(~late)), ("late", hits.where(late))):
+        index.write_index(part, path, load, segments=6)
+    return path
+
+
+@query
+def segment_index_scan(spark, sf_dir):
+    """Time range and phrase exclusion over a segment index, by a filter on its time."""
+    rows = index.read_index(spark, _segments(spark, sf_dir))
+    return pg.scan_index(rows, "at", INDEX_START, INDEX_END).select("url", "retrieved", "title")
+
+
+@query
+def segment_index_listings(spark, sf_dir):
+    """The index job's listings from a segment index."""
+    hits = jobs.indexed_hits(spark, _segments(spark, sf_dir), INDEX_START, INDEX_END)
+    options = jobs.JobOptions(rules=rl.rules_table(spark, ads.RULES), collapse="fields")
+    return jobs.index_listings(hits, INDEX_START, INDEX_END, options).select(
+        "url", "title", "retrieved", "name", "image", "price", "location", "image_folder", "image_bucket"
+    )
+
+
 @query
 def hostile_pages(spark, sf_dir):
     """Pages with broken and misleading markup: what is found, and the text a reader sees."""
