@@ -20,6 +20,7 @@ from adgleaner import schema
 from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im
 from adgleaner.operators import listings as ls, pages as pg
 from adgleaner.operators.shape import spread
+from adgleaner.plans.incremental import ListingState
 from adgleaner.sources import index, readers, sinks
 from adgleaner.streaming.crawl import stream_crawl_files
 from adgleaner.streaming.windows import in_run, run_end, window_of
@@ -30,6 +31,8 @@ class JobOptions:
     rules: DataFrame | None = None
     parse_partitions: int | None = None
     collapse: str = "row"
+    # Keep listings up to date from the pages of each run (`plans.incremental`) instead of making them from all pages.
+    incremental: bool = False
     https_images_only: bool = False
     fetch: Callable[[DataFrame], DataFrame] | None = None
     task: str | None = None
@@ -86,14 +89,26 @@ def publish(spark: SparkSession, target: str, batch: int, options: JobOptions) -
     """Make `listings` from all pages: one page per text, then one row per URL, in order of retrieval.
 
     A row lies in the folder of the batch that saw its URL first. The table is
-    replaced as a whole; it can be made again from `pages` at any time.
+    replaced as a whole; it can be made again from `pages` at any time. With
+    `incremental`, only pages of batches that are not yet published are looked at,
+    and all rows lie in the folder of the batch that published them.
     """
     pages = spark.read.parquet(f"{target}/pages")
+    if options.incremental:
+        since = _last_batch(spark, f"{target}/published")
+        state = ListingState(spark, f"{target}/state", options.collapse)
+        state.merge(pages.where(F.col("batch") > (-1 if since is None else since)), f"batch{batch}")
+        finished = _finish(state.listings(), target, batch, options).withColumn("batch", F.lit(batch).cast("long"))
+        _replace_listings(im.stored(finished, f"{target}/finished"), target)
+        return
     fresh = dedupe.first_texts(pages).drop("batch")
     listings = ls.typed_listings(cd.collapse_pages(fresh, options.collapse))
     finished = _finish(listings, target, batch, options)
     first = pages.groupBy("url").agg(F.min("batch").alias("batch"))
-    placed = im.stored(finished.join(first, "url"), f"{target}/finished")
+    _replace_listings(im.stored(finished.join(first, "url"), f"{target}/finished"), target)
+
+
+def _replace_listings(placed: DataFrame, target: str) -> None:
     writer = placed.hint("rebalance", "batch").write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy("batch").parquet(f"{target}/listings")
 

@@ -269,6 +269,9 @@ SELECT f.url, f.title, f.text, f.domain, f.retrieved, c.name, c.description, c.i
   c."ships to", sha256(f.url) AS id
 FROM first f LEFT JOIN found c USING (p, crawl) WHERE f.crawl = 0
 """
+for _name in ("row", "field"):
+    ORACLES[f"incremental_listings_by_{_name}"] = ORACLES[f"listings_by_{_name}"]
+ORACLES["crawl_job_in_two_runs"] = ORACLES["listings_by_row"]
 ORACLES["kept_pages_by_site"] = f"""
 WITH {_AD} SELECT site, count(*) AS raw_rows, count(*) FILTER (variant <> 7) AS kept_rows FROM page GROUP BY site
 """

@@ -11,7 +11,7 @@ from adgleaner.functions import text as tx, values as vl, web
 from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im
 from adgleaner.operators import listings as ls, pages as pg, places, rules as rl
 from adgleaner.operators.shape import compute_once, spread
-from adgleaner.plans import jobs
+from adgleaner.plans import incremental, jobs
 from adgleaner.session import shared_folder
 from adgleaner.sources import index, readers, sinks
 from adgleaner.streaming import windows
@@ -639,3 +639,38 @@ def index_job_overlapping(spark, sf_dir):
     for start, end in ((INDEX_START, datetime(2023, 2, 11, 12)), (datetime(2023, 2, 10, 17, 20), datetime(2023, 2, 14))):
         jobs.index_job(hits, start, end, target, options)
     return spark.read.parquet(f"{target}/listings").groupBy("url").agg(F.count("*").alias("n_rows"))
+
+
+def _listing_state(spark, sf_dir, collapse: str) -> DataFrame:
+    """Pages in three runs, those retrieved last first, so that later runs take texts over."""
+    state = incremental.ListingState(spark, shared_folder(spark, "state"), collapse, parts=4, buckets=4)
+    rules = rl.rules_table(spark, ads.RULES)
+    pages = im.stored(ls.extracted_pages(_ad_pages(spark, sf_dir), rules, collapse), shared_folder(spark, "extracted"))
+    # The pages of one text, and of one URL, fall into several runs.
+    run = F.pmod(F.length("title") + F.unix_millis(F.to_timestamp("retrieved")), F.lit(3))
+    for n in (2, 1, 0):
+        state.merge(pages.where(run == n), f"r{n}")
+    return state.listings()
+
+
+@query
+def incremental_listings_by_row(spark, sf_dir):
+    """Listings kept up to date over three runs: equal to those of one run over all pages."""
+    return _listing_state(spark, sf_dir, "row")
+
+
+@query
+def incremental_listings_by_field(spark, sf_dir):
+    return _listing_state(spark, sf_dir, "fields")
+
+
+@query
+def crawl_job_in_two_runs(spark, sf_dir):
+    """The disk job twice, the second time with more files: listings kept up to date, equal to those of one run."""
+    root, raw = shared_folder(spark, "job"), im.stored(_raw(spark, sf_dir), shared_folder(spark, "raw"))
+    options = jobs.JobOptions(rules=rl.rules_table(spark, ads.RULES), collapse="row", incremental=True)
+    late = F.col("fetch_time") % 3000 > 1000
+    for run, part in enumerate((raw.where(late), raw.where(~late))):
+        sinks.write_jsonl(part, f"{root}/in/run{run}/shops/data_pages", compression="deflate")
+        jobs.crawl_job(spark, f"{root}/in/*/shops/data_pages", f"{root}/out", options)
+    return spark.read.parquet(f"{root}/out/listings").drop("batch")
