@@ -1,14 +1,17 @@
 """Images: fetch each distinct address once, and join the path back to all listings."""
 
+from collections import deque
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta
 from queue import Empty, SimpleQueue
 from threading import Thread
 from time import monotonic
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from adgleaner import schema
+from adgleaner.functions import web
 from adgleaner.operators.skew import left_join_spread
 
 
@@ -38,6 +41,9 @@ def fetch_from_table(store: DataFrame, folder: str) -> Callable[[DataFrame], Dat
     return fetch
 
 
+TRIED = T.StructType([*schema.IMAGES.fields, T.StructField("tried", T.BooleanType())])
+
+
 def fetch_with(
     load: Callable[[str], bytes],
     save: Callable[[str, bytes], None],
@@ -46,14 +52,20 @@ def fetch_with(
     tasks: int | None = None,
     threads: int = 8,
     timeout: float = 30.0,
+    per_host: int = 4,
+    give_up: int = 3,
 ) -> Callable[[DataFrame], DataFrame]:
     """Fetcher that calls `load(address)` and `save(path, bytes)` on the executors.
 
     A stored image is not loaded again; an address that fails, or that takes more
-    than `timeout` seconds, gives a NULL path. Addresses are few bytes, so they are
-    dealt out to `tasks` tasks (by default, as many as shuffles have partitions) that
-    are not merged by size, and each task loads `threads` at a time. The time of a load
-    counts from its own start, and one that hangs gives its place to the next address.
+    than `timeout` seconds, gives a NULL path. The addresses of a host are dealt out over
+    `per_host` lanes, and a lane lies in one task and loads one address after the other: no
+    host has more loads at once than that, however many tasks there are, and a host that
+    holds much of the work is spread over so many tasks. Lanes are dealt out to `tasks` tasks
+    (by default, as many as shuffles have partitions) that are not merged by size; each task
+    loads `threads` at a time. The time of a load counts from its own start, and one that hangs
+    gives its place to the next address. After `give_up` in a row the rest of the lane is left
+    untried (`tried` is false), so that a dead host holds no more threads than that.
     """
 
     def one(address: str, path: str) -> str | None:
@@ -64,17 +76,28 @@ def fetch_with(
         except Exception:
             return None
 
-    def loaded(todo: list[tuple[str, str]]) -> list[str | None]:
-        out: list[str | None] = [None] * len(todo)
+    def loaded(todo: list[tuple[str, str, str]], hung: dict[str, int]) -> list[tuple[str | None, bool]]:
+        out: list[tuple[str | None, bool]] = [(None, False)] * len(todo)
+        lanes: dict[str, deque[int]] = {}
+        for i, (lane, _, _) in enumerate(todo):
+            lanes.setdefault(lane, deque()).append(i)
+        free = deque(lane for lane in lanes if hung.get(lane, 0) < give_up)
         ready: SimpleQueue = SimpleQueue()
         limits: dict[int, float] = {}  # of the loads that run, the earliest first
 
         def run(i: int) -> None:
-            ready.put((i, one(*todo[i])))
+            ready.put((i, one(*todo[i][1:])))
+
+        def done(i: int, path: str | None, late: bool) -> None:
+            lane = todo[i][0]
+            out[i] = (path, True)
+            hung[lane] = hung.get(lane, 0) + 1 if late else 0
+            if lanes[lane] and hung[lane] < give_up:
+                free.append(lane)
 
-        following = iter(range(len(todo)))
         while True:
-            while len(limits) < threads and (i := next(following, None)) is not None:
+            while len(limits) < threads and free:
+                i = lanes[free.popleft()].popleft()
                 limits[i] = monotonic() + timeout
                 # A load that hangs must not hold the task.
                 Thread(target=run, args=(i,), daemon=True).start()
@@ -85,23 +108,51 @@ def fetch_with(
                 i, path = ready.get(timeout=max(limits[first] - monotonic(), 0))
             except Empty:
                 del limits[first]
+                done(first, None, True)
                 continue
             if limits.pop(i, None) is not None:
-                out[i] = path
+                done(i, path, False)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hung: dict[str, int] = {}
         for batch in batches:
-            batch["image_path"] = loaded(list(zip(batch["image"], batch["image_path"])))
+            got = loaded(list(zip(batch.pop("lane"), batch["image"], batch["image_path"])), hung)
+            batch["image_path"], batch["tried"] = [g[0] for g in got], [g[1] for g in got]
             yield batch
 
     def fetch(images: DataFrame) -> DataFrame:
-        named = images.select("image", "image_id", "n_rows", image_file(folder, F.col("image_id")).alias("image_path"))
+        path = image_file(folder, F.col("image_id")).alias("image_path")
+        # An address that names no host stands for itself.
+        host = F.coalesce(F.lower(web.domain(F.col("image"))), F.col("image"))
+        lane = F.concat(F.pmod(F.xxhash64("image"), F.lit(per_host)), F.lit(" "), host).alias("lane")
+        named = images.select("image", "image_id", "n_rows", path, lane)
         n = tasks or int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return named.repartition(n, "image").mapInPandas(each, schema.IMAGES)
+        return named.repartition(n, "lane").mapInPandas(each, TRIED)
 
     return fetch
 
 
+ATTEMPT = T.StructType(
+    [T.StructField("image", T.StringType()), T.StructField("tried_at", T.TimestampType()), T.StructField("found", T.BooleanType())]
+)
+
+
+def attempts(fetched: DataFrame, now: datetime) -> DataFrame:
+    """What a run has tried, to be kept for the next."""
+    tried = fetched.where("tried") if "tried" in fetched.columns else fetched
+    return tried.select("image", F.lit(now).cast("timestamp").alias("tried_at"), F.col("image_path").isNotNull().alias("found"))
+
+
+def not_due(tried: DataFrame, now: datetime, wait: timedelta, most_tries: int) -> DataFrame:
+    """Images that failed and are not to be tried now: the wait doubles with each failure, and `most_tries` are enough."""
+    per = tried.groupBy("image").agg(
+        F.max("found").alias("found"), F.count("*").alias("tries"), F.max("tried_at").alias("last")
+    )
+    passed = F.unix_seconds(F.lit(now).cast("timestamp")) - F.unix_seconds("last")
+    soon = passed < F.lit(wait.total_seconds()) * F.pow(F.lit(2.0), F.col("tries") - 1)
+    return per.where(~F.col("found") & (soon | (F.col("tries") >= most_tries))).select("image")
+
+
 def image_vectors(
     paths: DataFrame, files: DataFrame, extract: Callable[[bytes], list[float]]
 ) -> DataFrame:
@@ -149,20 +200,23 @@ def add_images(
     manifest_path: str | None = None,
     path_column: str = "image_path",
     known: DataFrame | None = None,
+    waiting: DataFrame | None = None,
 ) -> DataFrame:
     """The image step of a job; passes listings through if there is no fetcher.
 
     With `manifest_path` the fetched images are written there first. A fetcher
     with side effects needs that: the join reads its result more than once.
-    Images that `known` has a path for are not fetched again.
+    Images that `known` has a path for are not fetched again, those of `waiting` not now.
     """
     if fetch is None:
         return listings
     images = distinct_images(listings)
+    if waiting is not None:
+        images = images.join(waiting, "image", "left_anti")
     if known is None:
         fetched = fetch(images)
     else:
         have = known.where(F.col("image_path").isNotNull()).select("image", "image_path")
-        done = images.join(have, "image").select("image", "image_id", "n_rows", "image_path")
-        fetched = fetch(images.join(have, "image", "left_anti")).unionByName(done)
+        done = images.join(have, "image").select("image", "image_id", "n_rows", "image_path", F.lit(False).alias("tried"))
+        fetched = fetch(images.join(have, "image", "left_anti")).unionByName(done, allowMissingColumns=True)
     return with_images(listings, stored(fetched, manifest_path) if manifest_path else fetched, path_column)

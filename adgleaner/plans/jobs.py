@@ -11,7 +11,7 @@ decided over all of them, once per run, so that it does not depend on the batche
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -35,6 +35,10 @@ class JobOptions:
     incremental: bool = False
     https_images_only: bool = False
     fetch: Callable[[DataFrame], DataFrame] | None = None
+    # When an image that failed is tried again: after `retry_wait`, then twice that, and so on, `most_tries` times in all.
+    retry_wait: timedelta = timedelta(hours=1)
+    most_tries: int = 5
+    now: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
     task: str | None = None
     column: str | None = None
     model: PipelineModel | None = None
@@ -47,12 +51,22 @@ def _finish(listings: DataFrame, target: str, batch: int, options: JobOptions) -
     """Images and classification, both optional."""
     if options.https_images_only:
         listings = pg.with_https_image(listings)
-    known = None
+    known = waiting = None
+    now = options.now()
+    tried = readers.read_parquet(listings.sparkSession, f"{target}/attempts", im.ATTEMPT)
+    if options.fetch:
+        waiting = im.not_due(tried, now, options.retry_wait, options.most_tries)
     if options.fetch and batch:
         earlier = sinks.read_batches(listings.sparkSession, f"{target}/images", schema.IMAGES, before=batch)
         # An image shown by several batches is listed by each of them.
         known = earlier.groupBy("image").agg(F.min("image_path").alias("image_path"))
-    listings = im.add_images(listings, options.fetch, f"{target}/images/batch={batch}", known=known)
+    images = f"{target}/images/batch={batch}"
+    listings = im.add_images(listings, options.fetch, images, known=known, waiting=waiting)
+    if options.fetch:
+        # Kept per run: a run that is done again tries only what is due by then.
+        fetched = listings.sparkSession.read.parquet(images)
+        fetched = fetched.withColumn("tried", F.coalesce("tried", F.lit(True))) if "tried" in fetched.columns else fetched
+        sinks.write_batch(im.attempts(fetched, now), f"{target}/attempts", batch)
     if options.task == "multi-model" and options.extract:
         listings = _with_vectors(im.stored(listings, f"{target}/with-paths"), target, options)
     if options.task:
