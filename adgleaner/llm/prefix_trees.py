@@ -266,8 +266,12 @@ def repeats(docs: DataFrame, length: int = 50, most_contexts: int = 2000) -> Dat
     start in the document `owner` too, which has a smaller id."""
     found = written(contexts(docs, length), "tree-contexts")
     # The least and the largest document of an anchor: most anchors have but one.
-    shared = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    some = written(found.join(shared.select("anchor"), "anchor", "left_semi"), "tree-shared")
+    shared = found.groupBy("anchor").agg(
+        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("rows")
+    ).where("lo < hi")
+    # An anchor of very many documents is joined in place.
+    marked = left_join_spread(found, shared.select("anchor", "rows", F.lit(True).alias("shared")), "anchor", "rows", "doc_id")
+    some = written(marked.where("shared").drop("shared"), "tree-shared")
     place = [F.first(c).alias(c) for c in ("doc_id", "h", "at", "size")]
     leaves = written(
         some.groupBy("anchor", "context").agg(
