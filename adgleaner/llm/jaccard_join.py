@@ -43,57 +43,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from adgleaner.llm.common import batches_of, written
+from adgleaner.llm.tokens import BLANK, mix as _mix, word_hashes, word_places
 
 WIDTH = 5
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 _BASE = _U(0x100000001B3)
-_BASE_INV = _U(pow(0x100000001B3, -1, 1 << 64))
 _CHUNK = 1 << 20
 # More ids than this are never broadcast.
 MAX_BROADCAST_IDS = 1_000_000
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
-    return x ^ (x >> _U(32))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
-def _byte_values() -> tuple[np.ndarray, np.ndarray]:
-    """A number for each byte, A-Z as a-z; and which bytes part words."""
-    lower = np.arange(256, dtype=np.uint64)
-    lower[65:91] += _U(32)
-    blank = np.zeros(256, bool)
-    blank[[9, 10, 11, 12, 13, 32]] = True
-    return _mix(lower + _U(1)), blank
-
-
-def _word_hashes(text: bytes, values: np.ndarray, blank: np.ndarray, powers: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+def _word_hashes(text: bytes) -> np.ndarray:
     a = np.frombuffer(text, np.uint8)
     out, start = [], 0
     while start < len(a):
         end = min(start + _CHUNK, len(a))
         if end < len(a):  # cut at a blank; a longer word is taken whole
-            more = np.flatnonzero(blank[a[end:]])
+            more = np.flatnonzero(BLANK[a[end:]])
             end = end + int(more[0]) if len(more) else len(a)
-        part = a[start:end]
-        gap = np.concatenate([[True], blank[part], [True]])
-        edge = np.flatnonzero(gap[1:] != gap[:-1])
-        first, last = edge[::2], edge[1::2]
-        if len(first):
-            n = len(part)
-            p, q = (powers, inverse) if n <= len(powers) else (_powers(n, _BASE), _powers(n, _BASE_INV))
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[part] * p[:n])])
-            out.append(_mix((total[last] - total[first]) * q[first] + (last - first).astype(np.uint64)))
+        part = _LOWER[a[start:end]]
+        first, last, _ = word_places(part, np.array([0, len(part)]), ~BLANK)
+        out.append(word_hashes(part, first, last))
         start = end
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _powers(n: int, base: np.uint64) -> np.ndarray:
-    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]))
-
-
 def shingle_set(words: np.ndarray) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a list of word hashes."""
     if not len(words):
@@ -109,13 +88,8 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
 class Shingler:
     """Shingle sets of texts given as bytes."""
 
-    def __init__(self):
-        with np.errstate(over="ignore"):
-            self.values, self.blank = _byte_values()
-            self.powers, self.inverse = _powers(_CHUNK, _BASE), _powers(_CHUNK, _BASE_INV)
-
     def of(self, text: pa.Scalar) -> np.ndarray:
-        return shingle_set(_word_hashes(text.as_buffer() or b"", self.values, self.blank, self.powers, self.inverse))
+        return shingle_set(_word_hashes(text.as_buffer() or b""))
 
     @staticmethod
     def known_by(tokens: np.ndarray) -> int:

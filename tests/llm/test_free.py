@@ -438,3 +438,14 @@ def test_one_of_each(hard, hard_rows):
     ids = Counter(r.doc_id for r in kept.collect())
     # Copies and near copies of 7 go, the repeated row of 7 too, 5 and 6, and 13, which shares its passage with 12.
     assert ids == Counter(x for x in [0, 1, 2, 3, 3, 4, 7, 11, 12, 14, 15, 16, 17, 18, 19, 20, None])
+
+
+def test_jaccard_join_does_not_link_words_made_to_collide(spark):
+    """Two words of 1024 letters whose hashes by powers modulo 2^64 are equal, whatever the base."""
+    one = "a"
+    while len(one) < 1024:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, one), (2, other), (3, one.upper())], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_copies(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
