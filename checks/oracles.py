@@ -224,6 +224,7 @@ for _name, _table in (
 ):
     ORACLES[_name] = f"WITH {_ALL} SELECT * EXCLUDE (p, crawl) FROM {_table}"
 
+ORACLES["learnt_rule_products"] = f"WITH {_ALL} SELECT * EXCLUDE (p, crawl) FROM site_rule WHERE p % 24 = 22"
 ORACLES["candidate_rows"] = f"""
 WITH {_ALL}, found AS (
   SELECT p, crawl, 1 AS source_rank, 'site seller' AS origin, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS DOUBLE) AS price FROM site_seller

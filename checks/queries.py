@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adgleaner import schema
 from adgleaner.functions import text as tx, values as vl, web
-from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im
+from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im, induction
 from adgleaner.operators import listings as ls, pages as pg, places, rules as rl
 from adgleaner.operators.shape import compute_once, spread
 from adgleaner.plans import incremental, jobs
@@ -266,6 +266,28 @@ QUERIES["site_sellers"] = _of("site seller", ("seller", "location"))
 QUERIES["site_rule_products"] = _of("site rules", ("name", "price", "seller", "`ships to`"))
 
 
+@query
+def learnt_rule_products(spark, sf_dir):
+    """Rules learnt from one half of a site's pages and their known values, applied to the other half."""
+    raw = ads.raw_pages(spark, sf_dir).where("variant = 10")
+    pages = im.stored(pg.admit(pg.read_pages(pg.decode_pages(raw))), shared_folder(spark, "site"))
+    known = ads.ad_values(spark, sf_dir).where("variant = 10 AND p % 24 = 10").select(
+        "p",
+        F.explode(
+            F.create_map(
+                F.lit("name"), F.concat_ws(" ", "p_name", "p"), F.lit("price"), F.concat("price", F.lit(" EUR")),
+                F.lit("seller"), F.col("s_name"), F.lit("ships to"), F.col("country"),
+            )
+        ).alias("field", "value"),
+    )
+    number = F.substring_index("url", "/", -1).cast("long").alias("p")
+    examples = pages.select(number, "site", "html", F.col("url").alias("page")).join(known, "p")
+    learnt = im.stored(induction.learn(examples), shared_folder(spark, "learnt"))
+    others = pages.where(number % 24 == 22)
+    rows = cd.candidate_rows(cd.with_candidates(others, induction.as_rules(learnt)))
+    return rows.where(F.col("origin") == "site rules").select("url", "retrieved", "name", "price", "seller", "`ships to`")
+
+
 @query
 def candidate_rows(spark, sf_dir):
     return _candidates(spark, sf_dir).select("url", "retrieved", "title", "source_rank", "origin", "name", "price")
