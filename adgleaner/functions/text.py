@@ -96,12 +96,31 @@ def unescape(c: Column) -> Column:
     )
 
 
+# What Windows-1252 shows for the bytes that are control characters in Latin-1.
+_WINDOWS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+_WINDOWS_BYTES = "".join(chr(c.encode("cp1252")[0]) for c in _WINDOWS)
+# UTF-8 that was read wrongly and written again, so many times at most.
+_LAYERS = 3
+
+
 def repair_mojibake(c: Column) -> Column:
-    """Undo UTF-8 bytes read as Latin-1: only where all characters fit and the bytes are valid."""
-    suspect = c.rlike(r"[\x{80}-\x{FF}]") & ~c.rlike(r"[^\x{0}-\x{FF}]")
-    # Text that does not fit Latin-1 must never reach encode, which rejects it.
-    again = F.encode(F.when(suspect, c), "ISO-8859-1").cast("string")
-    return F.when(suspect & F.is_valid_utf8(again), again).otherwise(c)
+    """Undo UTF-8 bytes read as Latin-1 or Windows-1252, up to three times over.
+
+    A layer is undone only where every character of the text stands for a byte and the bytes are
+    valid UTF-8: a text with one letter that was right all along stays as it is. Bytes that
+    Windows-1252 leaves open count as the control characters that readers make of them.
+    """
+
+    def undone(text: Column) -> Column:
+        as_read = F.translate(text, _WINDOWS, _WINDOWS_BYTES)
+        suspect = as_read.rlike(r"[\x{80}-\x{FF}]") & ~as_read.rlike(r"[^\x{0}-\x{FF}]")
+        # Text that does not fit Latin-1 must never reach encode, which rejects it.
+        again = F.encode(F.when(suspect, as_read), "ISO-8859-1").cast("string")
+        return F.when(suspect & F.is_valid_utf8(again), again).otherwise(text)
+
+    layers = F.aggregate(F.sequence(F.lit(1), F.lit(_LAYERS)), c, lambda text, _: undone(text))
+    # Only what begins a sequence of bytes can be repaired; most texts hold none of it.
+    return F.when(c.rlike(r"[\x{C2}-\x{F4}]"), layers).otherwise(c)
 
 
 def phrases_pattern(phrases: Sequence[str]) -> str:

@@ -66,7 +66,8 @@ SELECT doc_id, {_key("text")} AS text_key, split_part(text, '.', 1) AS first_sen
        trim(split_part(text, ' ', -1), '{BLANKS}') AS last_word FROM documents
 """
 ORACLES["repaired_texts"] = """
-SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS text_md5 FROM documents
+SELECT doc_id, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS text_md5
+FROM (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN text WHEN 4 THEN 'Â© – ä Ã ' || text ELSE 'it’s “é” ' || text END AS t FROM documents)
 """
 _AMOUNT = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR)"
 ORACLES["price_texts"] = f"""

@@ -114,11 +114,23 @@ def stripped_texts(spark, sf_dir):
 
 @query
 def repaired_texts(spark, sf_dir):
-    """Texts whose UTF-8 bytes were read as Latin-1, repaired."""
+    """Texts read wrongly once or twice, in Latin-1 or Windows-1252, and clean ones that look alike, repaired."""
     docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    misread = compute_once(docs, ["doc_id"], text=broken)
-    fixed = compute_once(misread, ["doc_id"], text=tx.repair_mojibake(F.col("text")))
+    marked = F.concat(F.lit("it\u2019s \u201cé\u201d "), F.col("text"))
+    clean = F.concat(F.lit("Â© \u2013 ä Ã "), F.col("text"))
+    windows = str.maketrans(web.CP1252_HIGH)
+
+    def misread(text: Column, as_windows: bool) -> Column:
+        latin = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+        return F.translate(latin, "".join(map(chr, windows)), "".join(windows.values())) if as_windows else latin
+
+    kind = F.col("doc_id") % 5
+    broken = (
+        F.when(kind == 0, misread(F.col("text"), False)).when(kind == 1, misread(marked, True))
+        .when(kind == 2, misread(misread(marked, True), True)).when(kind == 3, misread(misread(marked, False), False)).otherwise(clean)
+    )
+    wrong = compute_once(docs, ["doc_id"], text=broken)
+    fixed = compute_once(wrong, ["doc_id"], text=tx.repair_mojibake(F.col("text")))
     return fixed.select("doc_id", F.length("text").alias("n_chars"), _md5(F.col("text")).alias("text_md5"))
 
 

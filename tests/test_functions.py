@@ -152,6 +152,28 @@ def test_repair(rows, broken, fixed):
     assert one(rows, broken, tx.repair_mojibake) == fixed
 
 
+def _as_windows(text: str) -> str:
+    return "".join(bytes([b]).decode("cp1252") if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in text.encode())
+
+
+@pytest.mark.parametrize("text", ["it’s", "“é” – 12 €", "naïve Привет", "à Í Ï Ð Ý", "日本語", "👍 ok"])
+@pytest.mark.parametrize("layers", [1, 2, 3])
+def test_repair_of_layers(rows, text, layers):
+    windows = latin = text
+    for _ in range(layers):
+        windows, latin = _as_windows(windows), latin.encode().decode("latin-1")
+    assert one(rows, windows, tx.repair_mojibake) == text
+    assert one(rows, latin, tx.repair_mojibake) == text
+    assert one(rows, text, tx.repair_mojibake) == text
+    # One letter that was right all along, and all stays.
+    assert one(rows, windows + " ü", tx.repair_mojibake) == windows + " ü"
+
+
+@pytest.mark.parametrize("clean", ["café Â", "Â© – right", "Ø 12 €", "ÄÖÜ", "“only quotes”", "â€", "Ã"])
+def test_clean_texts_that_look_broken_stay(rows, clean):
+    assert one(rows, clean, tx.repair_mojibake) == clean
+
+
 @pytest.mark.parametrize(
     "title, name, description, text",
     [
