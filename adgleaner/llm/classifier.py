@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -192,7 +192,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, s: Settings) -> DataFrame:
-    """A bounded, repeatable sample: the first labelled rows of each class by a hash of the id."""
+    """A bounded, repeatable sample: the first labelled rows of each class by a hash of the id.
+
+    Of an id with several texts, the shortest counts. A text that does not fit into what is left
+    of its class's characters is passed over, and those after it still get their turn.
+    """
     wanted = (
         labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -201,15 +205,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, s: Settings) -
     order = F.xxhash64(F.lit(s.seed), "doc_id")
     half = [wanted.where(F.col("label") == y).orderBy(order, "doc_id").limit(s.max_docs // 2) for y in (0, 1)]
     few = half[0].unionByName(half[1])
-    # At most max_docs rows, from here on.
-    text = docs.select("doc_id", "text", F.coalesce(F.length("text"), F.lit(0)).alias("size"))
-    one = text.join(F.broadcast(few), "doc_id").groupBy("doc_id", "label").agg(F.min_by(F.struct("text", "size"), "text").alias("r"))
-    running = F.sum("r.size").over(Window.partitionBy("label").orderBy(order, "doc_id"))
-    return (
-        one.withColumn("running", running)
-        .where(F.col("running") <= s.max_chars // 2)
-        .select("doc_id", F.col("r.text").alias("text"), "label")
-    )
+    # At most max_docs rows, from here on. Sizes alone decide which texts are read.
+    found = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    named = found.select("doc_id", "text", "label", F.coalesce(F.length("text"), F.lit(0)).alias("size"), F.xxhash64("text").alias("h"))
+    sized = named.groupBy("doc_id", "label").agg(F.min(F.struct("size", "h")).alias("pick")).select("doc_id", "label", "pick.*")
+    room, chosen = {0: s.max_chars // 2, 1: s.max_chars // 2}, []
+    for r in sized.orderBy(order, "doc_id").collect():
+        if r["size"] <= room[r["label"]]:
+            room[r["label"]] -= r["size"]
+            chosen.append(tuple(r))
+    picked = docs.sparkSession.createDataFrame(chosen, sized.schema)
+    return named.join(F.broadcast(picked), ["doc_id", "label", "size", "h"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Settings = Settings()) -> Model:

@@ -152,12 +152,14 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, date: str =
 
 
 def read_records(
-    index: DataFrame, folder: str, payloads: bool = False, gap: int = 65536, most: int = 8 << 20
+    index: DataFrame, folder: str, payloads: bool = False, gap: int = 65536, most: int = 8 << 20, task: int = 4 << 20
 ) -> DataFrame:
     """The records that some index rows name.
 
     Ranges less than `gap` bytes apart are read at once, up to `most` bytes; a
-    longer record is read alone.
+    longer record is read alone. There is a task for every `task` bytes of records:
+    the rows of an index are far smaller than what they name, so their own size says
+    nothing about the work.
     """
 
     def runs(rows: Iterator[dict]) -> Iterator[list[dict]]:
@@ -191,7 +193,9 @@ def read_records(
     kind = RECORD + (", payload binary" if payloads else "")
     schema = _arrow(kind)
     names = set(schema.names)
-    wanted = index.select("file", "offset", "length").repartitionByRange("file", "offset")
+    wanted = index.select("file", "offset", "length")
+    tasks = (wanted.agg(F.sum("length")).first()[0] or 0) // task + 1
+    wanted = wanted.repartitionByRange(tasks, "file", "offset")
     return wanted.sortWithinPartitions("file", "offset").mapInArrow(read, kind)
 
 

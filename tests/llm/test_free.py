@@ -108,6 +108,18 @@ def test_training_never_sees_held_out_rows(spark):
     assert 0 < len(used) <= 50 and all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in used)
 
 
+def test_oversized_texts_are_passed_over(spark):
+    """One text above the bound costs its own place only; the bound holds over what is read."""
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, ("big " * 1000 if i % 6 < 2 else f"text {i} ") * 2) for i in ids] + [(ids[-1], "x"), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS size", "2 AS h", "3 AS label")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    used = classifier.training_rows(docs, labels, "quality", classifier.Settings(max_chars=4000)).collect()
+    assert {r.doc_id for r in used} == {i for i in ids if i % 6 >= 2} | {ids[-1]}
+    assert len(used) == len({r.doc_id for r in used}) and next(r.text for r in used if r.doc_id == ids[-1]) == "x"
+    assert classifier.training_rows(docs, labels, "quality", classifier.Settings(max_chars=0)).count() == 0
+
+
 def test_classifier_of_hard_and_empty(spark, hard, empty, hard_rows):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     constant = classifier.fit(hard, none)
@@ -252,6 +264,17 @@ def test_warc(spark):
     assert warc.round_trip(spark, pages.limit(0)).count() == 0
 
 
+def test_records_are_read_by_as_many_tasks_as_their_bytes_ask_for(spark):
+    pages = hard_pages(spark).coalesce(1)
+    folder = shared_folder(spark, "warc-test")
+    index = warc.write_archives(pages, folder)
+    total = index.agg(F.sum("length")).first()[0]
+    read = warc.read_records(index, folder, task=total // 4)
+    assert read.rdd.getNumPartitions() in (4, 5)
+    assert read.select(F.spark_partition_id()).distinct().count() > 1
+    assert read.count() == pages.count()
+
+
 def test_warc_files_are_readable_alone(spark):
     """Every record is a gzip member of its own, and all of them make up the file."""
     folder = shared_folder(spark, "warc-test")
