@@ -396,6 +396,28 @@ LEFT JOIN nation ON n_name = split_part(location, ', ', 2)
 """
 ORACLES["listings_through_csv"] = f"WITH {_LISTED} SELECT * FROM listed"
 
+# Every distinct part against every name.
+ORACLES["misspelt_locations"] = """
+WITH o AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),
+names AS (SELECT n_name AS name, n_name AS place FROM nation UNION ALL SELECT n_name || ' of ' || r_name, n_name FROM o),
+c AS (
+  SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN n_name || ' of ' || r_name ELSE n_name END AS name
+  FROM customer JOIN o ON c_nationkey = n_nationkey),
+e AS (SELECT *, CAST(c_custkey % length(name) AS INTEGER) AS n FROM c),
+l AS (
+  SELECT c_custkey, c_name || ', ' || CASE c_custkey % 5
+    WHEN 0 THEN left(name, n) || substr(name, n + 2) WHEN 1 THEN left(name, n) || 'x' || substr(name, n + 2)
+    WHEN 2 THEN left(name, n) || 'x' || substr(name, n + 1) ELSE name END AS location FROM e),
+p AS (
+  SELECT c_custkey, pos, string_split(location, ', ')[pos] AS part
+  FROM (SELECT c_custkey, location, unnest(range(1, len(string_split(location, ', ')) + 1)) AS pos FROM l)),
+d AS (SELECT part, name, place, levenshtein(part, name) AS far FROM (SELECT DISTINCT part FROM p), names),
+best AS (
+  SELECT c_custkey, place FROM p JOIN d USING (part)
+  WHERE far <= CASE WHEN least(length(part), length(name)) >= 4 THEN 1 ELSE 0 END
+  QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY far, pos, name, place) = 1)
+SELECT c_custkey, location, place FROM l LEFT JOIN best USING (c_custkey)
+"""
 # --- classification ----------------------------------------------------------
 
 ORACLES["top_dimensions"] = """

@@ -502,6 +502,30 @@ def resolved_locations(spark, sf_dir):
     return places.resolve_locations(_listings_with_images(spark, sf_dir), nation).select("url", "location", "place")
 
 
+@query
+def misspelt_locations(spark, sf_dir):
+    """Every customer's location with one edit in the nation's name, or by a region's alternative name."""
+    nation, region = (read(spark, sf_dir, t) for t in ("nation", "region"))
+    other = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    names = nation.select(F.col("n_name").alias("name"), F.col("n_name").alias("place")).unionByName(
+        other.select(F.concat_ws(" of ", "n_name", "r_name").alias("name"), F.col("n_name").alias("place"))
+    )
+    c = read(spark, sf_dir, "customer").join(other, F.col("c_nationkey") == F.col("n_nationkey"))
+    name = F.when(F.col("c_custkey") % 3 == 0, F.concat_ws(" of ", "n_name", "r_name")).otherwise(F.col("n_name"))
+    at = (F.col("c_custkey") % F.length("name") + 1).cast("int")
+    head, tail = F.substring("name", F.lit(1), at - 1), F.substring("name", at + 1, F.length("name"))
+    edited = (
+        F.when(F.col("c_custkey") % 5 == 0, F.concat(head, tail))
+        .when(F.col("c_custkey") % 5 == 1, F.concat(head, F.lit("x"), tail))
+        .when(F.col("c_custkey") % 5 == 2, F.concat(head, F.lit("x"), F.substring("name", at, F.length("name"))))
+        .otherwise(F.col("name"))
+    )
+    located = c.withColumn("name", name).select(
+        F.col("c_custkey").alias("id"), F.concat_ws(", ", "c_name", edited).alias("location")
+    )
+    return places.resolve_misspelt(located, names).select(F.col("id").alias("c_custkey"), "location", "place")
+
+
 # --- classification ----------------------------------------------------------
 
 

@@ -227,6 +227,24 @@ def test_first_known_part_of_a_location_wins(spark):
     assert got == {"1": "York", "2": "Peru", "3": None, "4": None}
 
 
+def test_misspelt_places_meet_by_deletions(spark):
+    known = ["York", "Peru", "Lima", "New York", "Rio", "Zürich", "Deutschland"]
+    seen = ["Yorkk", "Yrk", "Xork", "Nowhere, Limma, Peru", "New Yorke, Lima", "Roi", "Rio", "Zurich", "Deutschlnd", "Duetschland",
+            "", ",,", None, "Per, u", "x" * 5000, "Limu, Lime", "York, Peru"]
+    near = {"Yorkk": "York", "Yrk": None, "Xork": "York", "Roi": None, "Deutschlnd": "Germany", "Duetschland": None, "Zurich": "Zürich",
+            "Nowhere, Limma, Peru": "Peru", "New Yorke, Lima": "Lima", "Limu, Lime": "Lima", "York, Peru": "York", "Rio": "Rio"}
+    df = spark.createDataFrame([(str(i), x, "clash") for i, x in enumerate(seen * 2)], "id string, location string, name string")
+    names = spark.createDataFrame([(n, "Germany" if n == "Deutschland" else n) for n in known] + [(None, "none")], "name string, place string")
+    got = places.resolve_misspelt(df, names)
+    assert got.columns == [*df.columns, "place"] and got.count() == len(seen) * 2
+    assert {r.location: r.place for r in got.collect()} == {x: near.get(x) for x in seen}
+    two = {r.location: r.place for r in places.resolve_misspelt(df, names, edits=2).collect()}
+    assert two["Duetschland"] == "Germany" and two["Yrk"] is None and two["Roi"] is None
+    assert places.resolve_misspelt(df.limit(0), names).count() == 0
+    assert places.resolve_misspelt(df, names.limit(0)).where("place is not null").count() == 0
+    assert "CartesianProduct" not in plan_of(got) and "NestedLoop" not in plan_of(got)
+
+
 def test_observed_counts(spark):
     df, watch = counts.observed(spark.range(10), "run", rows=F.count("*"), even=F.count_if(F.col("id") % 2 == 0))
     df.collect()
