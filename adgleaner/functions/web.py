@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 
+from adgleaner.functions.charsets import CharsetModel
 from adgleaner.functions.text import unescape
 
 # Executors need no copy of this module: the helper travels with the task.
@@ -49,11 +50,12 @@ def _decode_as(content: pa.Array, charset: pa.Array) -> pa.Array:
     return pa.array([one(b, n) for b, n in zip(content.to_pylist(), charset.to_pylist())], pa.string())
 
 
-def decode_page(b: Column) -> Column:
+def decode_page(b: Column, model: CharsetModel | None = None) -> Column:
     """Text of page bytes: UTF-8 if valid, else by byte order mark or declared charset, else Latin-1.
 
-    Charsets that SQL does not decode are decoded in Python, and only pages that
-    declare one and are not UTF-8 leave the JVM for it.
+    With a model, pages that declare no charset are in the one it finds. Charsets that SQL
+    does not decode are decoded in Python, and only pages that are not UTF-8 and declare
+    one, or are to be guessed, leave the JVM for it.
     """
     utf8 = b.cast("string")
     latin1 = F.decode(b, "ISO-8859-1")
@@ -66,12 +68,17 @@ def decode_page(b: Column) -> Column:
     utf16 = two_bytes.isin("FFFE", "FEFF") & (F.length(b) % 2 == 0)
     plain = charset.isin("", "iso-8859-1", "latin-1", "latin1", "us-ascii", "utf-8", "utf8", *CP1252_NAMES, *LATIN9_NAMES)
     other = ~F.is_valid_utf8(utf8) & ~utf16 & ~plain
+    named = F.when(other, charset)
+    if model:
+        unnamed = ~F.is_valid_utf8(utf8) & ~utf16 & (charset == "")
+        named = F.coalesce(named, model.detect(F.when(unnamed, b)))
+        other |= unnamed
     return (
         F.when(F.is_valid_utf8(utf8), utf8)
         .when(utf16, F.decode(b, "UTF-16"))
         .when(charset.isin(*CP1252_NAMES), with_table(CP1252_HIGH))
         .when(charset.isin(*LATIN9_NAMES), with_table(LATIN9))
-        .otherwise(F.coalesce(_decode_as(F.when(other, b), F.when(other, charset)), latin1))
+        .otherwise(F.coalesce(_decode_as(F.when(other, b), named), latin1))
     )
 
 

@@ -61,6 +61,14 @@ ORACLES["decoded_contents"] = """
 SELECT doc_id, CAST(CASE WHEN doc_id % 7 <> 0 THEN length(text) END AS INTEGER) AS n_chars,
        CASE WHEN doc_id % 7 <> 0 THEN md5(text) END AS html_md5 FROM documents WHERE true
 """
+_PLAIN = "translate(text, 'äöüßéèçêóñíÄÖÜÉÈÇÊÓÑÍ', 'aouseeceoniAOUEECEONI')"
+_LATIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLES["detected_charsets"] = f"""
+SELECT doc_id, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS html_md5
+FROM (SELECT doc_id, CASE WHEN doc_id % 8 < 3 THEN text
+  WHEN doc_id % 8 = 7 THEN translate({_PLAIN}, '{_LATIN}', 'αβχδεφγηιϊκλμνοπψρστθωςξυζΑΒΧΔΕΦΓΗΙΪΚΛΜΝΟΠΨΡΣΤΘΩΆΞΥΖ')
+  ELSE translate({_PLAIN}, '{_LATIN}', 'абцдефгхийклмнопярстужвьызАБЦДЕФГХИЙКЛМНОПЯРСТУЖВЬЫЗ') END AS t FROM documents)
+"""
 ORACLES["stripped_texts"] = f"""
 SELECT doc_id, {_key("text")} AS text_key, split_part(text, '.', 1) AS first_sentence,
        trim(split_part(text, ' ', -1), '{BLANKS}') AS last_word FROM documents

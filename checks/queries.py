@@ -4,10 +4,11 @@ the crawl records derived from them (`checks.ads`)."""
 from collections.abc import Callable
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adgleaner import schema
-from adgleaner.functions import text as tx, values as vl, web
+from adgleaner.functions import charsets, text as tx, values as vl, web
 from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im, induction
 from adgleaner.operators import listings as ls, pages as pg, places, rules as rl
 from adgleaner.operators.shape import compute_once, spread
@@ -97,6 +98,43 @@ def decoded_contents(spark, sf_dir):
     return decoded.select("doc_id", F.length("html").alias("n_chars"), _md5(F.col("html")).alias("html_md5"))
 
 
+# Letters of the given texts, and their places in other alphabets.
+ACCENTED, PLAIN = "äöüßéèçêóñíÄÖÜÉÈÇÊÓÑÍ", "aouseeceoniAOUEECEONI"
+LATIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+CYRILLIC = "абцдефгхийклмнопярстужвьызАБЦДЕФГХИЙКЛМНОПЯРСТУЖВЬЫЗ"
+GREEK = "αβχδεφγηιϊκλμνοπψρστθωςξυζΑΒΧΔΕΦΓΗΙΪΚΛΜΝΟΠΨΡΣΤΘΩΆΞΥΖ"
+
+
+def in_alphabet(text: Column, doc_id: Column) -> Column:
+    """A text in the alphabet of its charset: three Latin ones, four Cyrillic, a Greek one."""
+    plain, kind = F.translate(text, ACCENTED, PLAIN), doc_id % 8
+    other = F.when(kind == 7, F.translate(plain, LATIN, GREEK)).when(kind > 2, F.translate(plain, LATIN, CYRILLIC))
+    return F.coalesce(other, text)
+
+
+@query
+def detected_charsets(spark, sf_dir):
+    """All texts in eight charsets that nothing declares, read back; UTF-8 where a charset lacks a letter."""
+
+    @F.arrow_udf("binary")
+    def encoded(text: pa.Array, charset: pa.Array) -> pa.Array:
+        def one(t: str | None, c: str) -> bytes | None:
+            try:
+                return None if t is None else t.encode(c)
+            except UnicodeEncodeError:
+                return t.encode()
+
+        return pa.array([one(t, c) for t, c in zip(text.to_pylist(), charset.to_pylist())], pa.binary())
+
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    texts = docs.select("doc_id", in_alphabet(F.col("text"), F.col("doc_id")).alias("text"))
+    model = charsets.learn(texts)
+    names = F.array(*[F.lit(c) for c in charsets.CHARSETS])
+    raw = texts.select("doc_id", encoded("text", F.get(names, F.col("doc_id") % 8)).alias("bytes"))
+    decoded = compute_once(raw, ["doc_id"], html=web.decode_page(F.col("bytes"), model))
+    return decoded.select("doc_id", F.length("html").alias("n_chars"), _md5(F.col("html")).alias("html_md5"))
+
+
 # --- text and value cleaning -------------------------------------------------
 
 
