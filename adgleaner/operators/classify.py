@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adgleaner import constants
 from adgleaner.functions import values
+from adgleaner.operators.word_vectors import WordVectors
 from adgleaner.session import shared_folder
 
 # A label set larger than this is an input mistake, not something to collect.
@@ -90,14 +91,28 @@ def zero_shot_text(
     text: str = "product",
     labels: Sequence[str] = constants.CANDIDATE_LABELS,
     template: str = constants.HYPOTHESIS_TEMPLATE,
+    vectors: WordVectors | None = None,
 ) -> DataFrame:
-    """Zero-shot for texts: the sentence of each label and the text meet as word vectors."""
+    """Zero-shot for texts: the sentence of each label and the text meet as word vectors.
+
+    With `vectors` learnt from a corpus (`word_vectors.learn`) they need no word in common. The
+    words of the template are the same for all labels and are left out then; a text without
+    a known word has no label, and a label without one is an error.
+    """
+    if vectors:
+        known = [(name, vectors.of(name)) for name in labels]
+        if unknown := [name for name, v in known if v is None]:
+            raise ValueError(f"no known word in {unknown}")
+        rows = [(name, [float(x) for x in v]) for name, v in known]
+        of_labels = df.sparkSession.createDataFrame(rows, "label string, vector array<double>")
+        embedded = df.withColumn("text_vector", vectors.embed(F.col(text)))
+        return zero_shot(embedded, "text_vector", of_labels).drop("text_vector")
     sentences = df.sparkSession.createDataFrame(
         [(name, template.format(name)) for name in labels], "label string, sentence string"
     )
-    vectors = _word_vectors(df, text, "text_vector")
+    hashed = _word_vectors(df, text, "text_vector")
     return zero_shot(
-        vectors, "text_vector", _word_vectors(sentences, "sentence", "vector")
+        hashed, "text_vector", _word_vectors(sentences, "sentence", "vector")
     ).drop("text_vector")
 
 
@@ -194,11 +209,13 @@ def score_with(make_scorer: Callable[[], Callable[..., pd.Series]], result: str,
 # --- which classifier --------------------------------------------------------
 
 
-def classify(df: DataFrame, task: str, column: str | None = None, model: PipelineModel | None = None) -> DataFrame:
+def classify(
+    df: DataFrame, task: str, column: str | None = None, model: PipelineModel | None = None, vectors: WordVectors | None = None
+) -> DataFrame:
     """Run the classifiers of a task. `column` names the text column that is made."""
     text = column or "product"
     if task == "zero-shot-classification":
-        return zero_shot_text(with_product_text(df, text), text)
+        return zero_shot_text(with_product_text(df, text), text, vectors=vectors)
     if task == "text-classification":
         return text_labels(with_product_text(df, text), model)
     if task == "multi-model":
@@ -206,7 +223,7 @@ def classify(df: DataFrame, task: str, column: str | None = None, model: Pipelin
             raise ValueError("multi-model needs image_path: run the image step first")
         return text_image_labels(with_product_text(df, text, keep_empty=True), model)
     if task == "both":
-        return text_labels(zero_shot_text(with_product_text(df, text), text), model)
+        return text_labels(zero_shot_text(with_product_text(df, text), text, vectors=vectors), model)
     raise ValueError(f"unknown task {task!r}")
 
 

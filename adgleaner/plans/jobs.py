@@ -20,6 +20,7 @@ from adgleaner import schema
 from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im
 from adgleaner.operators import listings as ls, pages as pg
 from adgleaner.operators.shape import spread
+from adgleaner.operators.word_vectors import WordVectors
 from adgleaner.plans.incremental import ListingState
 from adgleaner.sources import index, readers, sinks
 from adgleaner.streaming.crawl import stream_crawl_files
@@ -42,6 +43,8 @@ class JobOptions:
     task: str | None = None
     column: str | None = None
     model: PipelineModel | None = None
+    # Learnt word vectors for labels by similarity of texts (`word_vectors.learn`); hashed words without.
+    vectors: WordVectors | None = None
     # For classification by text and image: the folder that image paths start from, and what makes a vector of an image.
     images: str | None = None
     extract: Callable[[bytes], list[float]] | None = None
@@ -70,7 +73,7 @@ def _finish(listings: DataFrame, target: str, batch: int, options: JobOptions) -
     if options.task == "multi-model" and options.extract:
         listings = _with_vectors(im.stored(listings, f"{target}/with-paths"), target, options)
     if options.task:
-        listings = cl.classify(listings, options.task, options.column, options.model)
+        listings = cl.classify(listings, options.task, options.column, options.model, options.vectors)
     return listings.drop("image_vector")
 
 

@@ -432,6 +432,9 @@ ORACLES["top_dimensions"] = """
 SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS label,
        round(CAST(list_max(embedding) AS DOUBLE), 5) AS score FROM embeddings
 """
+ORACLES["zero_shot_languages"] = """
+SELECT lang, count(*) AS n_texts, true AS found FROM documents WHERE doc_id % 2 = 1 GROUP BY lang
+"""
 ORACLES["zero_shot_labels"] = """
 WITH e AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
 m AS (SELECT label, i, avg(x) AS x FROM e GROUP BY label, i),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from adgleaner import schema
 from adgleaner.functions import charsets, text as tx, values as vl, web
 from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im, induction
-from adgleaner.operators import listings as ls, pages as pg, places, rules as rl
+from adgleaner.operators import listings as ls, pages as pg, places, rules as rl, word_vectors
 from adgleaner.operators.shape import compute_once, spread
 from adgleaner.plans import incremental, jobs
 from adgleaner.session import shared_folder
@@ -599,6 +599,32 @@ def zero_shot_text_labels(spark, sf_dir):
     return cl.zero_shot_text(docs).select("doc_id", "label_product", F.round("score_product", 6).alias("score_product"))
 
 
+LANGUAGES = ("de", "en", "es", "fr")
+
+
+def language_texts(docs: DataFrame) -> DataFrame:
+    """Documents as products. Every other one also says the code of its language after each tenth word or so;
+    the code stands nowhere else."""
+    coded = F.regexp_replace("text", r"((?:\S+\s+){10})", F.concat(F.lit("$1"), F.lit("qq"), "lang", F.lit(" ")))
+    return docs.select("doc_id", "lang", F.when(F.col("doc_id") % 2 == 0, coded).otherwise(F.col("text")).alias("product"))
+
+
+def language_labels(docs: DataFrame) -> DataFrame:
+    """Which language's code fits a text, with vectors learnt from all texts."""
+    texts = language_texts(docs)
+    learnt = word_vectors.learn(texts, "product")
+    return cl.zero_shot_text(texts, labels=tuple(f"qq{c}" for c in LANGUAGES), vectors=learnt)
+
+
+@query
+def zero_shot_languages(spark, sf_dir):
+    """Per language: texts without its code, and whether 98 in 100 of those of at least 200 characters get it."""
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    unseen = language_labels(docs).where("doc_id % 2 = 1")
+    right = F.when(F.length("product") >= 200, F.col("label_product").eqNullSafe(F.concat(F.lit("qq"), "lang")).cast("int"))
+    return unseen.groupBy("lang").agg(F.count("*").alias("n_texts"), (F.avg(right) >= 0.98).alias("found"))
+
+
 def _quality_texts(spark, sf_dir) -> DataFrame:
     return _labelled(spark, sf_dir).select("doc_id", F.col("text").alias("product"), "quality")
 
