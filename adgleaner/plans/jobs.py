@@ -3,7 +3,7 @@
 Tables of a job, below its target folder:
   pages      pages with what was found on them, and their text key; one folder per batch
   images     one row per image fetched; one folder per batch
-  listings   the result, made from all of `pages`
+  listings   the result, made from all of `pages`; with `versioned`, one folder per version
 Files are read in batches, but which page of a text and which row of a URL stays is
 decided over all of them, once per run, so that it does not depend on the batches.
 """
@@ -21,6 +21,7 @@ from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe
 from adgleaner.operators import listings as ls, pages as pg
 from adgleaner.operators.shape import spread
 from adgleaner.operators.word_vectors import WordVectors
+from adgleaner.plans import versions
 from adgleaner.plans.incremental import ListingState
 from adgleaner.sources import index, readers, sinks
 from adgleaner.streaming.crawl import stream_crawl_files
@@ -34,6 +35,8 @@ class JobOptions:
     collapse: str = "row"
     # Keep listings up to date from the pages of each run (`plans.incremental`) instead of making them from all pages.
     incremental: bool = False
+    # Listings in versions that a manifest puts in force at once (`plans.versions`) instead of one table replaced in place.
+    versioned: bool = False
     https_images_only: bool = False
     fetch: Callable[[DataFrame], DataFrame] | None = None
     # When an image that failed is tried again: after `retry_wait`, then twice that, and so on, `most_tries` times in all.
@@ -97,7 +100,8 @@ def extract_batch(raw: DataFrame, target: str, batch: int, options: JobOptions)
     extracted = ls.extracted_pages(pg.read_pages(pages), options.rules, options.collapse)
     # One page per text of a batch is enough for the decision over all of them.
     sinks.write_batch(dedupe.first_texts(extracted), f"{target}/pages", batch)
-    figures = {**incoming.get, **readable.get}
+    # Of files without a record the plan is empty, and nothing is observed.
+    figures = {"records": 0, "pages": 0} if raw.isEmpty() else {**incoming.get, **readable.get}
     logging.info("batch %s: %s", batch, figures)
     return figures
 
@@ -108,21 +112,47 @@ def publish(spark: SparkSession, target: str, batch: int, options: JobOptions) -
     A row lies in the folder of the batch that saw its URL first. The table is
     replaced as a whole; it can be made again from `pages` at any time. With
     `incremental`, only pages of batches that are not yet published are looked at,
-    and all rows lie in the folder of the batch that published them.
+    and all rows lie in the folder of the batch that published them. With `versioned`, the old
+    table stays as it is, and a reader of `versions.read` meets either it or the new one, whole.
     """
     pages = spark.read.parquet(f"{target}/pages")
     if options.incremental:
-        since = _last_batch(spark, f"{target}/published")
+        since = _published(spark, target, options)
         state = ListingState(spark, f"{target}/state", options.collapse)
         state.merge(pages.where(F.col("batch") > (-1 if since is None else since)), f"batch{batch}")
         finished = _finish(state.listings(), target, batch, options).withColumn("batch", F.lit(batch).cast("long"))
-        _replace_listings(im.stored(finished, f"{target}/finished"), target)
+        _put_in_force(finished, target, batch, options)
         return
     fresh = dedupe.first_texts(pages).drop("batch")
     listings = ls.typed_listings(cd.collapse_pages(fresh, options.collapse))
     finished = _finish(listings, target, batch, options)
     first = pages.groupBy("url").agg(F.min("batch").alias("batch"))
-    _replace_listings(im.stored(finished.join(first, "url"), f"{target}/finished"), target)
+    _put_in_force(finished.join(first, "url"), target, batch, options)
+
+
+def _put_in_force(finished: DataFrame, target: str, batch: int, options: JobOptions) -> None:
+    if not options.versioned:
+        _replace_listings(im.stored(finished, f"{target}/finished"), target)
+        return
+    spark = finished.sparkSession
+    last = versions.current(spark, target)
+    version = last.version + 1 if last else 1
+    finished.hint("rebalance").write.mode("overwrite").parquet(versions.listings_folder(target, version))
+    versions.commit(spark, target, version, batch)
+
+
+def _published(spark: SparkSession, target: str, options: JobOptions) -> int | None:
+    """The last batch that the listings hold; NULL if there are none."""
+    if options.versioned:
+        last = versions.current(spark, target)
+        return last.batch if last else None
+    return _last_batch(spark, f"{target}/published")
+
+
+def _lacks_images(spark: SparkSession, target: str, options: JobOptions) -> bool:
+    """Whether the version in force was made without images that can be fetched now."""
+    last = versions.current(spark, target) if options.versioned and options.fetch else None
+    return last is not None and not last.has_image_path
 
 
 def _replace_listings(placed: DataFrame, target: str) -> None:
@@ -149,6 +179,7 @@ def crawl_job(
 
     `files_per_batch` bounds what one batch reads; the result is the same for any.
     `bad_lines="drop"` passes over lines that are no records instead of failing.
+    With `versioned`, listings that were made without images get them as soon as a run can fetch.
     """
     files = stream_crawl_files(spark, source, files_per_batch, bad_lines)
     done: list[int] = []
@@ -166,9 +197,11 @@ def crawl_job(
     query.awaitTermination()
     # Also after a run that ended between its last batch and its listings.
     last = done[-1] if done else _last_batch(spark, f"{target}/pages")
-    if last is not None and (done or last != _last_batch(spark, f"{target}/published")):
+    behind = done or last != _published(spark, target, options) or _lacks_images(spark, target, options)
+    if last is not None and behind:
         publish(spark, target, last, options)
-        sinks.write_batch(spark.range(1), f"{target}/published", last)
+        if not options.versioned:
+            sinks.write_batch(spark.range(1), f"{target}/published", last)
 
 
 def _last_batch(spark: SparkSession, path: str) -> int | None:

@@ -311,7 +311,7 @@ ORACLES["crawl_job_listings"] = (
     f" THEN 'data_Feb_10/' || min(id) OVER (PARTITION BY image) || '.png' END AS image_path FROM ({ORACLES['listings_by_row']}) l"
 )
 
-ORACLES["crawl_job_in_batches"] = ORACLES["crawl_job_listings"]
+ORACLES["crawl_job_in_batches"] = ORACLES["crawl_job_in_versions"] = ORACLES["crawl_job_listings"]
 ORACLES["index_job_overlapping"] = f"""
 WITH {_BY_FIELD}, ranged AS (
   SELECT *, row_number() OVER (PARTITION BY {_key("text")} ORDER BY retrieved, url) AS turn

@@ -12,7 +12,7 @@ from adgleaner.functions import charsets, text as tx, values as vl, web
 from adgleaner.operators import candidates as cd, classify as cl, counts, dedupe, images as im, induction
 from adgleaner.operators import listings as ls, pages as pg, places, rules as rl, word_vectors
 from adgleaner.operators.shape import compute_once, spread
-from adgleaner.plans import incremental, jobs
+from adgleaner.plans import incremental, jobs, versions
 from adgleaner.session import shared_folder
 from adgleaner.sources import index, readers, sinks
 from adgleaner.streaming import windows
@@ -728,15 +728,17 @@ def listings_through_csv(spark, sf_dir):
     return readers.read_csv(spark, path, rows.schema)
 
 
+def _fetch_brands(spark, sf_dir):
+    """Brand images are in the store; all others fail."""
+    store = _store(spark, sf_dir).withColumn("image", F.concat("image", F.lit(".png")))
+    return im.fetch_from_table(store, "data_Feb_10/")
+
+
 def _crawl_job(spark, sf_dir, files: int, files_per_batch: int):
     root = shared_folder(spark, "job")
     raw = _raw(spark, sf_dir)
     sinks.write_jsonl(raw.repartition(files) if files else raw, f"{root}/in/data_pages", compression="deflate")
-    # Brand images are in the store; all others fail.
-    fetch = im.fetch_from_table(
-        _store(spark, sf_dir).withColumn("image", F.concat("image", F.lit(".png"))), "data_Feb_10/"
-    )
-    options = jobs.JobOptions(rules=rl.rules_table(spark, ads.RULES), collapse="row", fetch=fetch)
+    options = jobs.JobOptions(rules=rl.rules_table(spark, ads.RULES), collapse="row", fetch=_fetch_brands(spark, sf_dir))
     jobs.crawl_job(spark, f"{root}/in/data_pages", f"{root}/out", options, files_per_batch)
     return spark.read.parquet(f"{root}/out/listings").drop("batch")
 
@@ -796,3 +798,16 @@ def crawl_job_in_two_runs(spark, sf_dir):
         sinks.write_jsonl(part, f"{root}/in/run{run}/shops/data_pages", compression="deflate")
         jobs.crawl_job(spark, f"{root}/in/*/shops/data_pages", f"{root}/out", options)
     return spark.read.parquet(f"{root}/out/listings").drop("batch")
+
+
+@query
+def crawl_job_in_versions(spark, sf_dir):
+    """A run without images, one that only adds them, one with more files: the version then in force."""
+    root, raw = shared_folder(spark, "job"), im.stored(_raw(spark, sf_dir), shared_folder(spark, "raw"))
+    rules, late = rl.rules_table(spark, ads.RULES), F.col("fetch_time") % 3000 > 1000
+    for part, fetch in ((raw.where(late), None), (None, _fetch_brands(spark, sf_dir)), (raw.where(~late), _fetch_brands(spark, sf_dir))):
+        if part is not None:
+            sinks.write_jsonl(part, f"{root}/in/{'first' if fetch is None else 'second'}/shops/data_pages", compression="deflate")
+        options = jobs.JobOptions(rules=rules, collapse="row", incremental=True, versioned=True, fetch=fetch)
+        jobs.crawl_job(spark, f"{root}/in/*/shops/data_pages", f"{root}/out", options)
+    return versions.read(spark, f"{root}/out").drop("batch")
