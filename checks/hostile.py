@@ -11,6 +11,7 @@ Variant = part key % 10, or 10 where part key % 20 is 10:
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from adgleaner.operators.shape import spread
 from checks.ads import read
 
 _PAGES = {
@@ -33,7 +34,7 @@ _PAGES = {
 
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("p"), F.expr("CASE p_partkey % 20 WHEN 10 THEN 10 ELSE p_partkey % 10 END").alias("v"), F.col("p_name").alias("n"))
+    part = spread(read(spark, sf_dir, "part")).select(F.col("p_partkey").alias("p"), F.expr("CASE p_partkey % 20 WHEN 10 THEN 10 ELSE p_partkey % 10 END").alias("v"), F.col("p_name").alias("n"))
     html = F.expr("CASE v " + " ".join(f"WHEN {v} THEN {sql}" for v, sql in _PAGES.items()) + " END")
     russian = F.lit("Привет".encode("cp1251"))
     before, after = F.split_part(html, F.lit("@"), F.lit(1)), F.split_part(html, F.lit("@"), F.lit(2))

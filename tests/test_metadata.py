@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from adgleaner.operators import metadata as md, rules as rl
 from adgleaner.operators.markup import page_tree, read_tree
 from adgleaner.operators.shape import compute_once
+from checks import hostile
 
 
 def json_ld(spark, *items, body=None):
@@ -269,3 +270,11 @@ def test_open_paragraphs_take_linear_time():
     seconds(1000)
     once, twice = min(seconds(20_000) for _ in range(3)), min(seconds(40_000) for _ in range(3))
     assert twice < 3 * once and twice < 5
+
+
+def test_hostile_pages_are_dealt_to_all_cores(spark, tmp_path):
+    """One small file of parts makes pages for every core to read."""
+    spark.range(100).selectExpr("id AS p_partkey", "'n' AS p_name").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    pages = hostile.raw_pages(spark, str(tmp_path))
+    assert pages.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert pages.count() == 100
