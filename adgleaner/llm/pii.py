@@ -47,6 +47,13 @@ PATTERNS = (
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _TERM = r"[\p{L}\p{N}]+"
 _BLOCK = 256
+# What every text with a base match that counts holds, in one look.
+_MAY_HOLD = (
+    r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]++\.[A-Za-z0-9-]|[0-9]\.[0-9]++\.[0-9]++\.[0-9]"
+    r"|[0-9](?:[\x20-]?[0-9]){15}|\+[0-9][\x20().0-9-]+[0-9]"
+)
+# More rows than this are never broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def _digits(value: Column) -> Column:
@@ -190,6 +197,30 @@ def entity_mentions(keyed: DataFrame, width: int) -> DataFrame:
     )
 
 
+def _few(rows: DataFrame) -> bool:
+    return rows.count() <= MAX_BROADCAST_ROWS
+
+
+def _listed(texts: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The texts of some rows (or, by `left_anti`, of all others), taken where they lie."""
+    return _joined(texts, F.broadcast(rows.select("doc_id", "h")), how)
+
+
+def _joined(texts: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
+    """Texts joined on id and hash with rows that may come from the same tables."""
+    of = rows.withColumnsRenamed({"doc_id": "of_id", "h": "of_h"})
+    both = texts.join(of, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_h")), how)
+    return both.drop("of_id", "of_h")
+
+
+def _naming(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts of some rows that hold base matches. Texts move only if the rows are too many to broadcast,
+    and then only those that may hold a match."""
+    if _few(rows):
+        return _listed(keyed, rows)
+    return keyed.where(F.col("t").rlike(_MAY_HOLD)).join(rows, _same_row(keyed, rows), "left_semi")
+
+
 def disclosing_terms(
     keyed: DataFrame,
     mentions: DataFrame,
@@ -216,8 +247,7 @@ def disclosing_terms(
     bound = total * (most / max(total, 1)) ** generalise_at * (1 + 1e-9)
     all_terms = keyed.select(F.explode(F.array_distinct(_terms(F.col("t")))).alias("term"))
     c_t = written(all_terms.groupBy("term").agg(F.count("*").alias("c_t")).where(F.col("c_t") <= bound), "pii-counts")
-    rows = named.select("doc_id", "h").distinct()
-    held = keyed.join(rows, _same_row(keyed, rows), "left_semi").dropDuplicates(["doc_id", "h"])
+    held = _naming(keyed, written(named.select("doc_id", "h").distinct(), "pii-naming")).dropDuplicates(["doc_id", "h"])
     outside = _without_base(held).select("doc_id", "h", F.explode(F.array_distinct(_terms(F.col("t")))).alias("term"))
     outside = outside.join(c_t, "term")
     both = named.join(outside, _same_row(named, outside)).select(
@@ -280,7 +310,8 @@ class Scan:
     def spans(self) -> DataFrame:
         """`doc_id, base, all`: sorted arrays of (kind, start, end) per row."""
         k, t = self.keyed, self.terms
-        hit = k.join(t, _same_row(k, t)).select(k["doc_id"], k["h"], "t", _term_pattern(t["terms"]).alias("p"))
+        k = _listed(k, t) if _few(t) else k
+        hit = _joined(k, t).select("doc_id", "h", "t", _term_pattern(F.col("terms")).alias("p"))
         some = hit.select(
             "doc_id", "h", F.regexp_extract_all("t", "p", F.lit(0)).alias("matches"), F.split("t", F.col("p"), -1).alias("gaps")
         ).where(F.size("matches") > 0)
@@ -293,7 +324,7 @@ class Scan:
         inside = lambda x: F.exists("base", lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
         kept = F.filter("found", lambda x: (x["kind"] < 4) | ~inside(x))
         per = both.select("doc_id", "h", "base", kept.alias("all"))
-        ids = k.select("doc_id", "h")
+        ids = self.keyed.select("doc_id", "h")
         none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
         return ids.join(per, _same_row(ids, per), "left").select(
             ids["doc_id"], F.coalesce("base", none).alias("base"), F.coalesce("all", none).alias("all")
@@ -302,12 +333,18 @@ class Scan:
     def sanitised(self) -> DataFrame:
         """The documents, all columns as they were, with personal data masked in the text."""
         names = self.docs.columns
-        row = F.struct(*[F.col(f"`{c}`") for c in names])
+        row = F.struct(*[F.col(f"`{c}`") for c in names if c != self.text])
         t = F.col(f"`{self.text}`")
         rows = self.docs.select(
             row.alias("row"), F.col(f"`{self.doc_id}`").alias("doc_id"), F.xxhash64(F.coalesce(t, F.lit(""))).alias("h"), t.alias("t")
         )
-        joined = rows.join(self.terms, _same_row(rows, self.terms), "left").select("row", "t", "terms")
+        if _few(self.terms):
+            # Only rows with terms move.
+            joined = _joined(_listed(rows, self.terms), self.terms).select("row", "t", "terms")
+            others = _listed(rows, self.terms, "left_anti")
+            joined = joined.unionByName(others.select("row", "t", F.lit(None).cast(self.terms.schema["terms"].dataType).alias("terms")))
+        else:
+            joined = rows.join(self.terms, _same_row(rows, self.terms), "left").select("row", "t", "terms")
         for k, p in enumerate(PATTERNS):
             matches = F.regexp_extract_all("t", F.lit(p), F.lit(0))
             masked = F.array_join(F.zip_with(F.split("t", p, -1), matches, _masker(k)), "")
