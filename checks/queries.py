@@ -643,6 +643,8 @@ def text_image_quality_labels(spark, sf_dir):
         F.col("vec_id").alias("doc_id"), "embedding", F.concat(F.lit("images/"), F.col("vec_id").cast("string")).alias("image_path")
     )
     rows = _quality_texts(spark, sf_dir).join(vectors, "doc_id", "left")
+    # Training and scoring pass over the rows several times; the texts meet their vectors once. Neither uses other rows.
+    rows = im.stored(rows.where(F.col("image_path").isNotNull()), shared_folder(spark, "text-image"))
     rows = cl.image_vectors(rows.withColumn("embedding", F.col("embedding").cast("array<double>")), "embedding", "image_vector")
     train = rows.where(F.col("quality").isNotNull() & F.col("image_path").isNotNull())
     model = cl.train_text_image_model(train, "product", "image_vector", 64, "quality")

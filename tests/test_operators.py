@@ -12,6 +12,7 @@ from adgleaner.operators.shape import compute_once, spread
 from adgleaner.plans import jobs
 from adgleaner.streaming import windows
 from checks import ads
+from checks.queries import QUERIES
 from tests.conftest import DATA
 
 
@@ -354,3 +355,13 @@ def test_time_range_reaches_the_scan(spark):
     events = spark.read.parquet(f"{DATA}/events.parquet")
     scan = plan_of(pg.in_time_range(events, "ts", datetime(2024, 1, 2), datetime(2024, 1, 3)).select("event_id"))
     assert "GreaterThanOrEqual(ts" in scan and "LessThan(ts" in scan
+
+
+def test_texts_meet_their_vectors_once(spark, tmp_path):
+    """Training and scoring read stored rows: scoring joins nothing again."""
+    spark.range(40).selectExpr("id AS doc_id", "concat(if(id % 2 = 0, 'good ', 'bad '), id) AS text", "'en' AS lang", "'s' AS source").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(30).selectExpr("id AS doc_id", "cast(id % 2 as int) AS quality", "0 AS toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.range(10, 40).selectExpr("id AS vec_id", "transform(sequence(1, 64), i -> cast(i * (id % 2) as float)) AS embedding").write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = QUERIES["text_image_quality_labels"](spark, str(tmp_path))
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.doc_id: (r.image_path, r.predicted_label) for r in found.collect()} == {i: (f"images/{i}", i % 2) for i in range(10, 40)}
