@@ -32,9 +32,21 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within it, Arrow batches have at most so many rows. For actions on wide rows."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    with _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows):
+        yield
+
+
+@contextmanager
+def batches_of_bytes(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Within it, Arrow batches hold little more than so many bytes. For actions on texts: narrow rows still come by the thousand."""
+    with _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", size):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
     before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, str(value))
     try:
         yield
     finally:

@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adgleaner.llm.common import batches_of, written
+from adgleaner.llm.common import batches_of, batches_of_bytes, written
 from adgleaner.llm.tokens import BLANK, mix as _mix, word_hashes, word_places
 
 WIDTH = 5
@@ -350,7 +350,8 @@ def candidate_sets(docs: DataFrame, members: DataFrame, ids: DataFrame) -> DataF
     s = _source(docs).alias("s")
     texts = s.join(wanted, F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.h") == F.col("w.h")), "left_semi")
     sets = texts.mapInArrow(of_batch, "cid long, n long, tokens binary, bitmap binary")
-    return written(sets.dropDuplicates(["cid"]), "join-sets")
+    with batches_of_bytes(docs.sparkSession):
+        return written(sets.dropDuplicates(["cid"]), "join-sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -419,7 +420,8 @@ def linked_classes(docs: DataFrame, members: DataFrame, threshold: int = 75, rou
     """`cid, comp` of the classes that share a key with another: the classes connected by links."""
     spark = docs.sparkSession
     longest = members.agg(F.max("n_shingles").alias("n")).first().n or 1
-    runs = written(shared_keys(segment_keys(docs, Allocation(threshold, longest))), "join-runs")
+    with batches_of_bytes(spark):
+        runs = written(shared_keys(segment_keys(docs, Allocation(threshold, longest))), "join-runs")
     ids = written(runs.select("cid").distinct(), "join-ids")
     few = candidate_sets(docs, members, ids)
     state = written(ids.select("cid", F.col("cid").alias("comp")), "join-state")
@@ -456,7 +458,8 @@ def tested_with(pairs: DataFrame) -> DataFrame:
 
 def _members(docs: DataFrame, threshold: int) -> DataFrame:
     """`doc_id, h, n_shingles, comp` per row; comp is null for a row without shingles."""
-    sets = written(shingle_sets(docs), "join-all")
+    with batches_of_bytes(docs.sparkSession):
+        sets = written(shingle_sets(docs), "join-all")
     comp = linked_classes(docs, sets, threshold)
     joined = sets.select("doc_id", "h", "n_shingles", "cid").join(comp, "cid", "left")
     return written(joined.select("doc_id", "h", "n_shingles", F.coalesce("comp", "cid").alias("comp")), "join-members")

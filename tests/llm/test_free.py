@@ -1,6 +1,7 @@
 """Suffix dedup, classifier, packing, WARC, secrets and the similarity join against plain versions."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -472,3 +473,24 @@ def test_jaccard_join_does_not_link_words_made_to_collide(spark):
     docs = spark.createDataFrame([(1, one), (2, other), (3, one.upper())], "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in jaccard_join.near_copies(docs).collect()}
     assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_texts_come_in_small_batches(spark, tmp_path, monkeypatch):
+    """However long the texts are, a Python worker is given a few megabytes of them at a time."""
+    sizes = str(tmp_path / "sizes")
+    plain = jaccard_join._parts
+
+    def noted(batches, rows):
+        def seen():
+            for batch in batches:
+                with open(f"{sizes}-{os.getpid()}", "a") as f:
+                    f.write(f"{batch.nbytes}\n")
+                yield batch
+
+        return plain(seen(), rows)
+
+    monkeypatch.setattr(jaccard_join, "_parts", noted)
+    docs = spark.range(0, 300, 1, 1).selectExpr("id AS doc_id", "concat(repeat('word ', 20000), id) AS text")
+    assert jaccard_join.near_copies(docs).count() == 300
+    found = [int(n) for f in tmp_path.glob("sizes-*") for n in f.read_text().split()]
+    assert found and max(found) < 6 << 20
