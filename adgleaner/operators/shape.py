@@ -20,10 +20,14 @@ def spread(scan: DataFrame, partitions: int | None = None) -> DataFrame:
     """Deal the rows of a file scan out to all cores if it has fewer partitions than that.
 
     Compressed crawl files cannot be split, so one large file would be parsed by
-    one core. A scan that is already wide passes through without a shuffle. If
+    one core. Parquet is split between row groups only, so a large file may hold all
+    rows in one of many partitions: fewer files than cores count as too few partitions.
+    A scan that is already wide passes through without a shuffle. If
     some files are far larger than others, ask for a number of partitions.
     """
     if partitions:
         return scan.repartition(partitions)
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    cores, now = scan.sparkSession.sparkContext.defaultParallelism, scan.rdd.getNumPartitions()
+    files = scan.inputFiles()
+    narrow = now < cores or (len(files) < cores and any(f.endswith(".parquet") for f in files))
+    return scan.repartition(max(cores, now)) if narrow else scan

@@ -24,8 +24,9 @@ from adgleaner.session import shared_folder
 # Executors need no copy of this module: the helper travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# What a task holds before it passes its counts on.
+# What a task holds before it reduces it or passes it on.
 _HELD = 1_000_000
+_PAIRS_HELD = 4_000_000
 _PIECE = 100_000
 
 
@@ -80,46 +81,68 @@ def _frequent_words(texts: DataFrame, text: str, least: int, most: int) -> list[
     return [(r.word, r.n) for r in top.collect()]
 
 
+def _added(pairs: tuple[np.ndarray, ...], counts: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, and the sums of their counts."""
+    pair, place = np.unique(np.concatenate(pairs), return_inverse=True)
+    return pair, np.bincount(place, np.concatenate(counts), len(pair)).astype(np.int64)
+
+
 def _pair_counts(texts: DataFrame, text: str, places: dict[str, int], window: int) -> DataFrame:
-    """(a, b, n): how often two known words stand at most `window` known words apart, both ways."""
+    """(a, b, n): how often two known words stand at most `window` known words apart, both ways.
+
+    A pair is counted once, as one number with the lesser place first, and turned round when all are added up.
+    """
     size = len(places)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
+        # Distinct pairs of parts that are done, with their counts; added up when there are many.
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def reduced() -> pa.RecordBatch:
-            pair, n = np.unique(np.concatenate(held) if held else np.empty(0, np.int64), return_counts=True)
-            columns = [np.concatenate([pair // size, pair % size]), np.concatenate([pair % size, pair // size]), np.tile(n, 2)]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
+        def rows() -> pa.RecordBatch:
+            added = _added(*zip(*parts)) if parts else [np.empty(0, np.int64)] * 2
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in added], ["pair", "n"])
 
         for batch in batches:
             for t in batch.column(0):
-                ids = np.array([places[w] for w in words_of(t.as_py()) if w in places], np.int64)
+                ids = np.array([i for i in map(places.get, words_of(t.as_py())) if i is not None], np.int64)
                 # A very long text goes in pieces; a pair belongs to the piece of its first word.
                 for start in range(0, len(ids), _PIECE):
                     for step in range(1, window + 1):
                         second = ids[start + step : start + step + _PIECE]
-                        held.append(ids[start : start + len(second)] * size + second)
+                        first = ids[start : start + len(second)]
+                        held.append(np.minimum(first, second) * size + np.maximum(first, second))
                         n_held += len(second)
                     if n_held > _HELD:
-                        yield reduced()
+                        parts.append(np.unique(np.concatenate(held), return_counts=True))
                         held, n_held = [], 0
-        yield reduced()
-
-    pairs = texts.select(text).mapInArrow(count, "a bigint, b bigint, n bigint")
-    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
+                        if sum(len(p) for p, _ in parts) > _PAIRS_HELD:
+                            parts = [_added(*zip(*parts))]
+                            if len(parts[0][0]) > _PAIRS_HELD // 2:
+                                yield rows()
+                                parts = []
+        if held:
+            parts.append(np.unique(np.concatenate(held), return_counts=True))
+        yield rows()
+
+    once = texts.select(text).mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    a, b = F.expr(f"pair div {size}"), F.expr(f"pair % {size}")
+    # A word next to itself counts both ways too.
+    n = F.when(a == b, 2 * F.col("n")).otherwise(F.col("n"))
+    ways = F.array(F.struct(a.alias("a"), b.alias("b"), n.alias("n")), F.struct(b.alias("a"), a.alias("b"), n.alias("n")))
+    return once.select(F.inline(F.when(a == b, F.slice(ways, 1, 1)).otherwise(ways)))
 
 
 def _information(pairs: DataFrame) -> DataFrame:
     """(a, bs, values): one row per word with what it says of its neighbours, where that is positive.
 
     The totals are one row per known word, and so is the result, so that both are bounded by
-    the number of known words.
+    the number of known words; the totals are sent to every task.
     """
     totals = pairs.groupBy("a").agg(F.sum("n").alias("n_a"))
     of_b = totals.select(F.col("a").alias("b"), F.col("n_a").alias("n_b"))
     everything = totals.agg(F.sum("n_a").cast("double").alias("total"))
-    joined = pairs.join(totals, "a").join(of_b, "b")
+    joined = pairs.join(F.broadcast(totals), "a").join(F.broadcast(of_b), "b")
     total = everything.first()["total"] or 0.0
     value = F.log(F.col("n") * F.lit(total) / F.col("n_a") / F.col("n_b"))
     rows = joined.select("a", "b", value.alias("value")).where("value > 0").groupBy("a")
@@ -133,13 +156,14 @@ def _product(matrix: DataFrame, by: np.ndarray) -> np.ndarray:
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                np.asarray(v.values) @ by[np.asarray(b.values)] for b, v in zip(batch.column(1), batch.column(2))
+                (np.asarray(v.values) @ by[np.asarray(b.values)]).tobytes() for b, v in zip(batch.column(1), batch.column(2))
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["a", "row"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["a", "row"])
 
     out = np.zeros(by.shape)
-    for r in matrix.mapInArrow(multiply, "a bigint, row array<double>").toLocalIterator():
-        out[r.a] = r.row
+    # One row per known word, from all tasks at once.
+    for r in matrix.mapInArrow(multiply, "a bigint, row binary").collect():
+        out[r.a] = np.frombuffer(r.row)
     return out
 
 

@@ -620,6 +620,8 @@ def language_labels(docs: DataFrame) -> DataFrame:
 def zero_shot_languages(spark, sf_dir):
     """Per language: texts without its code, and whether 98 in 100 of those of at least 200 characters get it."""
     docs = spread(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    # Three passes read them.
+    docs = im.stored(docs, shared_folder(spark, "languages"))
     unseen = language_labels(docs).where("doc_id % 2 = 1")
     right = F.when(F.length("product") >= 200, F.col("label_product").eqNullSafe(F.concat(F.lit("qq"), "lang")).cast("int"))
     return unseen.groupBy("lang").agg(F.count("*").alias("n_texts"), (F.avg(right) >= 0.98).alias("found"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from adgleaner.operators import classify as cl, word_vectors as wv
+from adgleaner.operators import classify as cl, shape, word_vectors as wv
 from checks import queries as q
 from tests.conftest import DATA
 
@@ -70,3 +70,33 @@ def test_unknown_words(spark):
     assert wv.learn(texts.limit(0)).words == ()
     alone = wv.learn(texts.where("id = 5"), least=1)
     assert alone.words == ("zz",) and alone.of("zz") is None
+
+
+def test_pairs_of_parts_are_added_up_and_passed_on(spark, monkeypatch):
+    monkeypatch.setattr(wv, "_HELD", 10)
+    monkeypatch.setattr(wv, "_PAIRS_HELD", 4)
+    texts = spark.createDataFrame([("a b a b c c " * 5,)] * 20, "text string").coalesce(1)
+    places = {"a": 0, "b": 1, "c": 2}
+    pairs = wv._pair_counts(texts, "text", places, 2)
+    expected = Counter()
+    ids = [places[w] for w in "a b a b c c".split() * 5]
+    for i, first in enumerate(ids):
+        for second in ids[i + 1 : i + 3]:
+            expected[first, second] += 20
+            expected[second, first] += 20
+    assert {(r.a, r.b): r.n for r in pairs.collect()} == expected
+
+
+def test_a_parquet_file_of_one_row_group_is_dealt_out(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(20_000).coalesce(1).write.parquet(f"{tmp_path}/one")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        scan = spark.read.parquet(f"{tmp_path}/one")
+        assert scan.rdd.getNumPartitions() >= cores
+        rows = shape.spread(scan).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert len(rows) >= cores and sum(r["count"] for r in rows) == 20_000
+    assert max(r["count"] for r in rows) < 20_000 / cores * 1.5
