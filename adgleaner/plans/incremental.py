@@ -64,7 +64,7 @@ class BucketedTable:
         return rows.repartition(self.buckets, self.key)
 
     def replace(self, rows: DataFrame, parts: list[int]) -> None:
-        """Put rows in place of some folders. Written aside first, as they may come from there."""
+        """Put rows in place of some folders. They may come from there: the folders change when all rows are written."""
         placed = rows.select(*[F.col(f"`{c}`") for c in self.columns]).withColumn("part", self.part_of(self.key))
         nothing = [F.lit(None).alias(c) for c in self.columns]
         marks = self.spark.createDataFrame([(p,) for p in parts], "part int").select(*nothing, "part")
@@ -105,10 +105,10 @@ class ListingState:
         lost = moves.where("lost_by IS NOT NULL").select(F.col("lost_by").alias("url"), "text_key")
         urls = won.select("url").union(lost.select("url"))
         parts = self.winners.touched(urls)
-        self.winners.replace(im.stored(self.pages_now(won, lost, parts), f"{self.path}/pages/run={run}"), parts)
-        self.listed.replace(im.stored(self.listings_now(urls, parts), f"{self.path}/collapsed/run={run}"), parts)
+        self.winners.replace(self.pages_now(won, lost, parts), parts)
+        self.listed.replace(self.listings_now(urls, parts), parts)
         # Last: until then the same pages would make the same moves.
-        self.texts.replace(im.stored(self.texts_now(won, text_parts), f"{self.path}/decided/run={run}"), text_parts)
+        self.texts.replace(self.texts_now(won, text_parts), text_parts)
         figures = {"won": won.count(), "lost": lost.count()}
         logging.info("run %s: %s", run, figures)
         return figures

@@ -117,3 +117,10 @@ def test_old_pages_are_not_shuffled_and_only_touched_folders_are_written(spark,
     state.merge(new, "2")
     changed = {p.split("part=")[1].split("/")[0] for p in before ^ files()}
     assert changed == {str(parts[0])}
+
+
+def test_a_run_writes_each_table_once(spark, tmp_path):
+    """Besides the tables, only what a run brings is kept: no second copy of what it puts in place."""
+    state = ListingState(spark, str(tmp_path / "s"), parts=2, buckets=2)
+    state.merge(pages(spark, n=20), "0")
+    assert {p.name for p in (tmp_path / "s").iterdir()} == {"texts", "winners", "listings", "brought", "moves"}
