@@ -4,6 +4,8 @@ Each function takes columns and returns one candidate struct, or a list of
 them. The struct fields are those of `schema.CANDIDATE`.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F, types as T
 
 from adgleaner import schema
@@ -27,6 +29,12 @@ def no_candidates() -> Column:
     return F.array().cast(T.ArrayType(schema.CANDIDATE))
 
 
+def bound(make: Callable[..., Column], **parts: Column) -> Column:
+    """`make` of some parts, each computed once. Within a lambda an expression runs as often as it is written."""
+    one = F.array(F.struct(*[c.alias(n) for n, c in parts.items()]))
+    return F.get(F.transform(one, lambda x: make(**{n: x[n] for n in parts})), 0)
+
+
 # --- values of any shape -----------------------------------------------------
 
 
@@ -63,10 +71,14 @@ def _texts(v: Column, path: str) -> Column:
 def image_address(image: Column, with_url: bool) -> Column:
     """Address in an image that may be a text, an object, or a list of either."""
     first = F.when(_is_list(image), F.try_variant_get(image, "$[0]", "variant")).otherwise(image)
-    steps = [F.nullif(_text(first, "$.contentUrl"), F.lit(""))]
-    if with_url:
-        steps.append(F.nullif(_text(first, "$.url"), F.lit("")))
-    return F.coalesce(*steps, _text(first, "$"))
+
+    def address(first: Column) -> Column:
+        steps = [F.nullif(_text(first, "$.contentUrl"), F.lit(""))]
+        if with_url:
+            steps.append(F.nullif(_text(first, "$.url"), F.lit("")))
+        return F.coalesce(*steps, _text(first, "$"))
+
+    return bound(address, first=first)
 
 
 _NUMBER_TYPE = r"^(?:TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
@@ -138,26 +150,34 @@ def json_ld_products(items: Column) -> Column:
 
 def json_ld_candidate(item: Column) -> Column:
     # The last offer wins; seller and location come from the last offer that has them.
-    offers = F.filter(_as_list(_value(item, "$.offers")), _is_object)
-    offer = _last(offers)
-    seller = _value(_last(F.filter(offers, lambda o: _is_object(_value(o, "$.seller")))), "$.seller")
-    address = _value(
-        _last(F.filter(offers, lambda o: _is_object(_value(o, "$.seller.address")))), "$.seller.address"
-    )
-    return candidate(
-        "json-ld",
-        name=_text(item, "$.name"),
-        description=_text(item, "$.description"),
-        image=image_address(_value(item, "$.image"), with_url=True),
-        production_data=_text(item, "$.productionDate"),
-        category=_text(item, "$.category"),
-        price=_mean(offer_prices(offer)),
-        currency=values.currency(_texts(offer, "$.priceCurrency")),
-        seller=_text(seller, "$.name"),
-        seller_type=_text(seller, "$['@type']"),
-        seller_url=_text(seller, "$.url"),
-        location=_text(address, "$.addressCountry"),
-    )
+    def of_offers(offers: Column) -> Column:
+        return bound(
+            found,
+            offer=_last(offers),
+            seller=_value(_last(F.filter(offers, lambda o: _is_object(_value(o, "$.seller")))), "$.seller"),
+            address=_value(
+                _last(F.filter(offers, lambda o: _is_object(_value(o, "$.seller.address")))), "$.seller.address"
+            ),
+            image=_value(item, "$.image"),
+        )
+
+    def found(offer: Column, seller: Column, address: Column, image: Column) -> Column:
+        return candidate(
+            "json-ld",
+            name=_text(item, "$.name"),
+            description=_text(item, "$.description"),
+            image=image_address(image, with_url=True),
+            production_data=_text(item, "$.productionDate"),
+            category=_text(item, "$.category"),
+            price=_mean(offer_prices(offer)),
+            currency=values.currency(_texts(offer, "$.priceCurrency")),
+            seller=_text(seller, "$.name"),
+            seller_type=_text(seller, "$['@type']"),
+            seller_url=_text(seller, "$.url"),
+            location=_text(address, "$.addressCountry"),
+        )
+
+    return bound(of_offers, offers=F.filter(_as_list(_value(item, "$.offers")), _is_object))
 
 
 # --- Microdata ---------------------------------------------------------------
@@ -176,11 +196,29 @@ def microdata_candidate(item: Column) -> Column:
     A list of offers counts only without a top-level seller, and then its first
     offer does. An offer that names no price leaves the price found before.
     """
-    offers, seller = _value(item, "$.offers"), _value(item, "$.seller")
-    inner = _value(item, "$.mainEntity.offers")
-    has_seller, has_offer, has_inner = _is_object(seller), _is_object(offers), _is_object(inner)
-    listed = F.when(_is_list(offers) & ~has_seller, F.try_variant_get(offers, "$[0]", "variant"))
+    def of_parts(offers: Column, seller: Column, inner: Column, image: Column) -> Column:
+        has_seller = _is_object(seller)
+        listed = F.when(_is_list(offers) & ~has_seller, F.try_variant_get(offers, "$[0]", "variant"))
+        flags = {"has_seller": has_seller, "has_offer": _is_object(offers), "has_inner": _is_object(inner)}
+        return bound(
+            lambda **more: _microdata_found(item, offers, seller, inner, image, **more), **flags, listed=listed
+        )
 
+    parts = {"offers": "$.offers", "seller": "$.seller", "inner": "$.mainEntity.offers", "image": "$.image"}
+    return bound(of_parts, **{n: _value(item, path) for n, path in parts.items()})
+
+
+def _microdata_found(
+    item: Column,
+    offers: Column,
+    seller: Column,
+    inner: Column,
+    image: Column,
+    has_seller: Column,
+    has_offer: Column,
+    has_inner: Column,
+    listed: Column,
+) -> Column:
     def chosen(pick) -> Column:
         """`pick` of the last present offer."""
         return F.when(_is_object(listed), pick(listed)).when(has_offer, pick(offers)).when(has_inner, pick(inner))
@@ -205,7 +243,7 @@ def microdata_candidate(item: Column) -> Column:
         "microdata",
         name=_text(item, "$.name"),
         description=_text(item, "$.description"),
-        image=image_address(_value(item, "$.image"), with_url=False),
+        image=image_address(image, with_url=False),
         production_data=_text(item, "$.productionDate"),
         category=_text(item, "$.category"),
         price=_mean(named),

@@ -278,3 +278,10 @@ def test_hostile_pages_are_dealt_to_all_cores(spark, tmp_path):
     pages = hostile.raw_pages(spark, str(tmp_path))
     assert pages.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert pages.count() == 100
+
+
+def test_parts_of_an_item_are_read_once(spark):
+    """Within a lambda Spark computes an expression as often as it is written."""
+    for made in (md.json_ld_candidate, md.microdata_candidate):
+        written = str(made(F.col("item")))
+        assert written.count("'$.offers'") <= 2 and written.count("'$.image'") == 1
