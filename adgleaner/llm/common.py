@@ -29,13 +29,6 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Within it, Arrow batches have at most so many rows. For actions on wide rows."""
-    with _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows):
-        yield
-
-
 @contextmanager
 def batches_of_bytes(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
     """Within it, Arrow batches hold little more than so many bytes. For actions on texts: narrow rows still come by the thousand."""

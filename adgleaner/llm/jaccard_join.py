@@ -7,6 +7,16 @@ are compared depends on sizes only, in bands whose ends are a factor 1 / t apart
 a similar pair lies in one band or in two neighbouring ones, and each pair of
 bands has its own m.
 
+The finest partition comes first: each shingle is a segment of its own. Then only
+what a set lacks in the other spoils its segments, |x| - ceil(t |x|) at most,
+whatever the partner's size. Keys are taken in one order for all sets, frequent
+shingles last; the first |x| - ceil(t |x|) + l hold at least l that a similar set
+has too among its own first. Sets that share fewer have no partner; neither has
+one whose size no other set of the key comes near. Which shingles are frequent
+decides the cost only.
+
+Where very many sets share such a key, it tells little: its sets are compared by
+segments of several elements instead, of which a similar pair shares one as well.
 Within a pair of bands one of two ways is chosen by the cheaper estimate of keys
 per document and of documents that the way serves badly:
 
@@ -23,10 +33,11 @@ two elements) also emits the empty ones; only such documents meet there.
 
 Equal sets become one class first, so that copies are not joined with each other.
 Documents that share a key are candidates. They are verified against stars, one
-centre per key, then connected. What is still apart, such as many copies of one text
-that are all too far from each other, is compared in blocks by parity bitmaps, which
-bound the difference from below; only pairs that may be links become rows and are
-counted exactly. In the end, every candidate pair is verified, ruled out or connected.
+centre per key, then connected: parity bitmaps bound the difference from below, and
+what they do not rule out is counted exactly. What is still apart, such as many copies
+of one text that are all too far from each other, is, once for all their keys, compared in blocks, which count
+all their pairs exactly and return only links that connect components, fewer than
+they hold sets. In the end, every candidate pair is verified, ruled out or connected.
 
 Shingles and sets are compared by 64-bit hashes. Null and empty texts have no
 shingles and are linked with nothing; repeated rows are linked; a null id
@@ -42,7 +53,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adgleaner.llm.common import batches_of, batches_of_bytes, written
+from adgleaner.llm.common import batches_of_bytes, written
 from adgleaner.llm.tokens import BLANK, mix as _mix, word_hashes, word_places
 
 WIDTH = 5
@@ -52,6 +63,11 @@ _BASE = _U(0x100000001B3)
 _CHUNK = 1 << 20
 # More ids than this are never broadcast.
 MAX_BROADCAST_IDS = 1_000_000
+# Shingles that come last in the order of keys, at most; counted within so many shingles at a time.
+MAX_FREQUENT = 100_000
+_COUNTED = 1 << 20
+# Tokens of a block of sets, about.
+_BLOCK_TOKENS = 1 << 17
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -105,21 +121,81 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
         yield from (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """`doc_id, h, n_shingles, cid`: per row the size of its set, and what the set is known by; `h` tells texts of one id apart."""
+def scanned(docs: DataFrame) -> DataFrame:
+    """`doc_id, h, n_shingles, cid, often`: per row the size of its set, and what the set is known by; `h` tells texts of one id apart.
+
+    Rows with `often` are no documents: `cid` is a shingle that so many sets had among those that a task counted together.
+    """
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, names = Shingler(), ["doc_id", "h", "n_shingles", "cid", "often"]
+        held: dict[int, np.ndarray] = {}
+
+        def frequent() -> pa.RecordBatch:
+            u, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held.values()]), return_counts=True)
+            u, n = u[n > 2], n[n > 2]
+            none = pa.nulls(len(u), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, none, pa.array(u.view(np.int64)), pa.array(n, pa.int64())], names)
+
         with np.errstate(over="ignore"):
             for part in _parts(batches, 1000):
-                sets = ((len(s), shingler.known_by(s) if len(s) else None) for s in map(shingler.of, part.column(2)))
-                sizes, ids = zip(*sets)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:2], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())],
-                    ["doc_id", "h", "n_shingles", "cid"],
-                )
+                sizes, ids, total = [], [], sum(map(len, held.values()))
+                for s in map(shingler.of, part.column(2)):
+                    sizes.append(len(s))
+                    ids.append(shingler.known_by(s) if len(s) else None)
+                    if len(s) and ids[-1] not in held:
+                        if total + len(s) > _COUNTED:
+                            yield frequent()
+                            held.clear()
+                            total = 0
+                        held[ids[-1]] = s
+                        total += len(s)
+                columns = [*part.columns[:2], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.nulls(len(ids), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+            yield frequent()
+
+    return _source(docs).mapInArrow(of_batch, "doc_id long, h long, n_shingles long, cid long, often long")
 
-    return _source(docs).mapInArrow(of_batch, "doc_id long, h long, n_shingles long, cid long")
+
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """`doc_id, h, n_shingles, cid` of every row."""
+    return scanned(docs).where("often IS NULL").drop("often")
+
+
+class Order:
+    """Shingles from rare to frequent, equally frequent ones by hash, and the keys that a set has in this order."""
+
+    def __init__(self, threshold: int, frequent: DataFrame | None = None):
+        self.t = threshold
+        self.tokens, self.often = np.zeros(1, np.uint64), np.zeros(1, np.int64)
+        if frequent is not None:
+            total = frequent.groupBy("cid").agg(F.sum("often").alias("n")).orderBy(F.desc("n"), "cid").limit(MAX_FREQUENT)
+            rows = total.toArrow()
+            if rows.num_rows:
+                tokens = rows["cid"].to_numpy().view(np.uint64)
+                at = np.argsort(tokens)
+                self.tokens, self.often = tokens[at], rows["n"].to_numpy()[at]
+
+    def least(self, n: int) -> int:
+        """The fewest elements that a set of n shares with a similar one."""
+        return -(-self.t * n // 100)
+
+    def wanted(self, n: int) -> int:
+        """How many keys two similar sets share, if neither has fewer than n elements."""
+        return 1 + (self.least(n) - 1) // 32
+
+    def fewest(self, n: int) -> int:
+        """How many keys a set of n elements shares with a similar one of any size."""
+        return self.wanted(self.least(n))
+
+    def keys(self, tokens: np.ndarray) -> np.ndarray:
+        """The first keys of a set of sorted distinct hashes."""
+        n = len(tokens)
+        count = n - self.least(n) + self.wanted(n)
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        often = np.where(self.tokens[at] == tokens, self.often[at], 0)
+        rare = tokens[often == 0]
+        return rare[:count] if len(rare) >= count else tokens[np.argsort(often, kind="stable")[:count]]
 
 
 class Allocation:
@@ -204,14 +280,24 @@ class Allocation:
         return _mix(_mix(rest + _U(k + 1) * _BASE))
 
 
-def segment_keys(docs: DataFrame, allocation: Allocation) -> DataFrame:
-    """`key, cid` of every set. A task gives the keys of a set that it meets again only once."""
+def _keyed(ids: list[int], sizes: list[int], keys: list[np.ndarray]) -> pa.RecordBatch:
+    many = [len(k) for k in keys]
+    key = np.concatenate([np.zeros(0, np.uint64), *keys])
+    n, cid = np.repeat(np.array(sizes, np.int32), many), np.repeat(np.array(ids, np.int64), many)
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n), pa.array(cid)], ["key", "n", "cid"])
+
+
+_RUNS = "key long, n int, cid long"
+
+
+def shingle_keys(docs: DataFrame, order: Order) -> DataFrame:
+    """`key, n, cid` of every set. A task gives the keys of a set that it meets again only once."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(), set()
         with np.errstate(over="ignore"):
             for part in _parts(batches, 500):
-                keys, ids = [np.zeros(0, np.uint64)], []
+                ids, sizes, keys = [], [], []
                 for tokens in map(shingler.of, part.column(2)):
                     cid = shingler.known_by(tokens) if len(tokens) else None
                     if cid is None or cid in seen:
@@ -219,36 +305,63 @@ def segment_keys(docs: DataFrame, allocation: Allocation) -> DataFrame:
                     if len(seen) >= 1_000_000:  # only spares work; forgetting is harmless
                         seen.clear()
                     seen.add(cid)
-                    keys.append(allocation.keys(tokens))
                     ids.append(cid)
-                cid = np.repeat(np.array(ids, np.int64), [len(k) for k in keys[1:]])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(cid)], ["key", "cid"])
+                    sizes.append(len(tokens))
+                    keys.append(order.keys(tokens))
+                yield _keyed(ids, sizes, keys)
+
+    return _source(docs).mapInArrow(of_batch, _RUNS)
+
+
+def segment_keys(sets: DataFrame, allocation: Allocation) -> DataFrame:
+    """`key, n, cid` of some sets, by segments."""
 
-    return _source(docs).mapInArrow(of_batch, "key long, cid long")
+    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for part in _parts(batches, 500):
+                tokens = [np.frombuffer(t.as_buffer(), np.uint64) for t in part.column(1)]
+                yield _keyed(part.column(0).to_pylist(), [len(t) for t in tokens], [allocation.keys(t) for t in tokens])
 
+    return sets.select("cid", "tokens").mapInArrow(of_batch, _RUNS)
 
-def shared_keys(keys: DataFrame) -> DataFrame:
-    """The distinct rows whose key another set has too. One row is held at a time, however long a run is."""
+
+def shared_keys(keys: DataFrame, threshold: int) -> DataFrame:
+    """The distinct rows whose key a set of similar size has too. One row is held at a time, however long a run is.
+
+    Rows of a key come by size, so that a row with a partner has a neighbour in reach.
+    """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, with_last = None, False  # the last distinct row, and whether it shares its key with the one before
+        names = ["key", "n", "cid"]
+        held, with_last = None, False  # the last distinct row, and whether it is in reach of the one before
         for batch in batches:
-            k, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            k, n, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             if held is not None:
-                k, c = np.concatenate([[held[0]], k]), np.concatenate([[held[1]], c])
+                k, n, c = (np.concatenate([h, x]) for h, x in zip(held, (k, n, c)))
             new = np.ones(len(k), bool)
             new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
-            k, c = k[new], c[new]
-            same = k[1:] == k[:-1]
+            k, n, c = k[new], n[new], c[new]
+            if not len(k):
+                continue
+            same = (k[1:] == k[:-1]) & (100 * n[:-1].astype(np.int64) >= threshold * n[1:].astype(np.int64))
             before = np.concatenate([[with_last], same])
             after = np.concatenate([same, [False]])
             out = (before | after)[:-1]
-            held, with_last = (k[-1], c[-1]), bool(before[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(k[:-1][out]), pa.array(c[:-1][out])], ["key", "cid"])
+            held, with_last = (k[-1:], n[-1:], c[-1:]), bool(before[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1][out]) for x in (k, n, c)], names)
         if held is not None and with_last:
-            yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], ["key", "cid"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names)
+
+    return keys.repartition("key").sortWithinPartitions("key", "n", "cid").mapInArrow(runs, _RUNS)
+
 
-    return keys.repartition("key").sortWithinPartitions("key", "cid").mapInArrow(runs, "key long, cid long")
+def with_enough(runs: DataFrame, order: Order) -> DataFrame:
+    """The rows of sets that share as many keys as a similar one would have in common with them."""
+    counts = runs.groupBy("cid").agg(F.count("*").alias("keys"), F.first("n").alias("size"))
+    least = f"({order.t} * size + 99) div 100"
+    fewest = F.expr(f"1 + (({order.t} * ({least}) + 99) div 100 - 1) div 32")  # `order.fewest`
+    enough = counts.where(F.col("keys") >= fewest).select("cid")
+    return runs.join(enough, "cid", "left_semi").select("key", "n", "cid")
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
@@ -273,40 +386,73 @@ def _apart(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum())
 
 
-def block_pairs(left: list[dict], right: list[dict], threshold: int) -> list[tuple[int, int]]:
-    """Pairs across two blocks, of different components, that sizes and bitmaps do not rule out."""
-    rows = [np.array([[r["cid"], r["comp"], r["n"]] for r in side], np.int64) for side in (left, right)]
-    size = min(len(r["bitmap"]) for side in (left, right) for r in side)
-    maps = [
-        np.stack([_folded(np.frombuffer(r["bitmap"], np.uint8), size) for r in side]) for side in (left, right)
-    ]
-    (a, b), out = rows, []
-    for i in range(len(a)):
-        n = b[:, 2] + a[i, 2]
-        open_ = (b[:, 1] != a[i, 1]) & (100 * np.minimum(b[:, 2], a[i, 2]) >= threshold * np.maximum(b[:, 2], a[i, 2]))
-        j = np.flatnonzero(open_)
-        if len(j):
-            least = np.bitwise_count(maps[1][j] ^ maps[0][i]).sum(axis=1, dtype=np.int64)
-            j = j[least <= n[j] * (100 - threshold) // (100 + threshold)]
-            out += [(min(a[i, 0], x), max(a[i, 0], x)) for x in b[j, 0]]
+def block_links(left: list[dict], right: list[dict], threshold: int) -> list[tuple[int, int]]:
+    """Links across two blocks that connect their components, none of them implied by the others."""
+    root = {r["comp"]: r["comp"] for r in (*left, *right)}
+    if len(root) == 1:
+        return []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    sides = [[np.frombuffer(r["tokens"], np.uint64) for r in side] for side in (left, right)]
+    known = np.intersect1d(*(np.concatenate(side) for side in sides))
+    held = []
+    for side in sides:
+        # Which of the tokens that both blocks have are in which set.
+        of = np.repeat(np.arange(len(side)), [len(t) for t in side])
+        tokens = np.concatenate(side)
+        at = np.minimum(np.searchsorted(known, tokens), max(len(known) - 1, 0))
+        there = known[at] == tokens if len(known) else np.zeros(len(tokens), bool)
+        matrix = np.zeros((len(side), len(known)), np.float32)
+        matrix[of[there], at[there]] = 1
+        held.append(matrix)
+    both = (held[0] @ held[1].T).astype(np.int64)  # numbers below 2^24 are exact
+    n, m = (np.array([len(t) for t in side]) for side in sides)
+    out = []
+    for i, j in zip(*np.nonzero(100 * both >= threshold * (n[:, None] + m[None, :] - both))):
+        x, y = find(left[i]["comp"]), find(right[j]["comp"])
+        if x != y:
+            root[x] = y
+            out.append((left[i]["cid"], right[j]["cid"]))
     return out
 
 
-def pairs_apart(runs: DataFrame, sets: DataFrame, threshold: int, size: int = 64, few: int = 64) -> DataFrame:
-    """All pairs (a, b) of `runs` that share a key and are in different components, but for those that bitmaps rule out.
+def _merged(runs: DataFrame, few: int) -> DataFrame:
+    """`runs` with keys that have many sets in common made one, where that leaves fewer pairs. No two sets lose a shared key."""
+    count = runs.groupBy("key").agg(F.count("*").alias("members"))
+    large = runs.join(count.where(F.col("members") > few), "key")
+    # A set names its least key; a key goes by the least name among its sets.
+    name = large.groupBy("cid").agg(F.min("key").alias("name"))
+    names = large.join(name, "cid").groupBy("key", "members").agg(F.min("name").alias("name"))
+    names = written(names, "join-names")
+    apart = names.groupBy("name").agg(F.sum(F.col("members") * F.col("members")).alias("pairs"))
+    together = runs.join(names.select("key", "name"), "key").groupBy("name").agg(F.countDistinct("cid").alias("sets"))
+    better = together.join(apart, "name").where(F.col("sets") * F.col("sets") < F.col("pairs")).select("name")
+    names = names.join(better, "name", "left_semi").select("key", "name")
+    return runs.join(names, "key", "left").withColumn("key", F.coalesce("name", "key")).drop("name").distinct()
+
+
+def pairs_apart(runs: DataFrame, sets: DataFrame, threshold: int, size: int = 64, few: int = 64) -> tuple[DataFrame, DataFrame]:
+    """What is left of `runs`: pairs (a, b) that share a key and are in different components, and links.
 
     Members of a key that up to `few` sets share are paired as rows. Those of a
-    larger one are dealt into blocks of about `size`; a row is a pair of blocks,
-    compared within its task. So a key that n sets share makes rows of a number
-    of (n / size) squared, and only pairs that may be links go on.
+    larger one are dealt into blocks of about `size`, fewer of large sets; a row is
+    a pair of blocks, compared within its task. So a key that n sets share makes
+    rows of a number of (n / size) squared, and a pair of blocks gives fewer links
+    than it has sets.
     """
-    count = runs.groupBy("key").agg(F.count("*").alias("members"))
-    counted = written(runs.join(count, "key"), "join-counted")
+    runs = written(_merged(runs, few), "join-merged")
+    count = runs.groupBy("key").agg(F.count("*").alias("members"), F.sum(F.col("n").cast("long")).alias("tokens"))
+    blocks = F.ceil(F.greatest(F.col("members") / size, F.col("tokens") / _BLOCK_TOKENS)).alias("blocks")
+    counted = written(runs.join(count.select("key", "members", blocks), "key"), "join-counted")
     one, two = (counted.where(F.col("members") <= few).select("key", F.col("cid").alias(c), F.col("comp").alias(f"{c}_comp")) for c in "ab")
     paired = one.join(two, "key").where("a < b and a_comp != b_comp").select("a", "b")
-    placed = counted.where(F.col("members") > few).join(sets.select("cid", "n", "bitmap"), "cid")
-    block = F.pmod(F.xxhash64("cid", "key"), F.ceil(F.col("members") / size))
-    one = F.struct("cid", "comp", "n", "bitmap")
+    placed = counted.where(F.col("members") > few).drop("n").join(sets.select("cid", "tokens"), "cid")
+    block = F.pmod(F.xxhash64("cid", "key"), F.col("blocks"))
+    one = F.struct("cid", "comp", "tokens")
     blocks = written(placed.groupBy("key", block.alias("block")).agg(F.collect_list(one).alias("rows")), "join-blocks")
     both = blocks.toDF("key", "i", "left").join(blocks.toDF("key", "j", "right"), "key").where("i <= j")
 
@@ -315,14 +461,14 @@ def pairs_apart(runs: DataFrame, sets: DataFrame, threshold: int, size: int = 64
             found: set[tuple[int, int]] = set()
             for r in _parts([batch], 1):
                 row = r.to_pylist()[0]
-                found.update(block_pairs(row["left"], row["right"], threshold))
+                found.update(block_links(row["left"], row["right"], threshold))
             a, b = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    # Rows are wide: some 20 KB a block.
-    with batches_of(runs.sparkSession, 200):
-        blocked = written(both.select("left", "right").mapInArrow(compare, "a long, b long").distinct(), "join-apart")
-    return paired.union(blocked)
+    # Rows are wide: some 100 KB a block.
+    with batches_of_bytes(runs.sparkSession):
+        links = written(both.select("left", "right").mapInArrow(compare, "a long, b long").distinct(), "join-apart")
+    return paired, links
 
 
 def candidate_sets(docs: DataFrame, members: DataFrame, ids: DataFrame) -> DataFrame:
@@ -379,7 +525,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     near = near.where(100 * F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n"))
     left = written(near.where(may("a_bitmap", "b_bitmap", F.col("a_n") + F.col("b_n"))).select("a", "b"), "join-near")
     both = on(on(left, "a", "tokens").drop("a_n"), "b", "tokens")
-    with batches_of(pairs.sparkSession, 500):
+    with batches_of_bytes(pairs.sparkSession):
         return written(both.where(exact("a_tokens", "b_tokens")).select("a", "b"), "join-links")
 
 
@@ -416,14 +562,29 @@ def _connected(state: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def linked_classes(docs: DataFrame, members: DataFrame, threshold: int = 75, rounds: int = 4) -> DataFrame:
-    """`cid, comp` of the classes that share a key with another: the classes connected by links."""
+def linked_classes(
+    docs: DataFrame, members: DataFrame, threshold: int = 75, rounds: int = 4, frequent: DataFrame | None = None, many: int = 10_000
+) -> DataFrame:
+    """`cid, comp` of the classes that share a key with another: the classes connected by links.
+
+    Sets of a key that more than `many` share are compared by segments.
+    """
     spark = docs.sparkSession
-    longest = members.agg(F.max("n_shingles").alias("n")).first().n or 1
+    order = Order(threshold, frequent)
     with batches_of_bytes(spark):
-        runs = written(shared_keys(segment_keys(docs, Allocation(threshold, longest))), "join-runs")
+        runs = written(shared_keys(shingle_keys(docs, order), threshold), "join-shared")
+    # What goes leaves keys to one set, so that more may go.
+    for _ in range(2):
+        runs = written(shared_keys(with_enough(runs, order), threshold), "join-runs")
     ids = written(runs.select("cid").distinct(), "join-ids")
     few = candidate_sets(docs, members, ids)
+    full = written(runs.groupBy("key").agg(F.count("*").alias("sets")).where(F.col("sets") > many).select("key"), "join-full")
+    if not full.isEmpty():
+        longest = members.agg(F.max("n_shingles").alias("n")).first().n
+        crowded = few.join(runs.join(full, "key", "left_semi").select("cid").distinct(), "cid", "left_semi")
+        with batches_of_bytes(spark):
+            segments = shared_keys(segment_keys(crowded, Allocation(threshold, longest)), threshold)
+            runs = written(runs.join(full, "key", "left_anti").unionByName(segments), "join-runs")
     state = written(ids.select("cid", F.col("cid").alias("comp")), "join-state")
     tested = spark.createDataFrame([], "a long, b long")
     for turn in range(rounds + 1):
@@ -442,8 +603,9 @@ def linked_classes(docs: DataFrame, members: DataFrame, threshold: int = 75, rou
             cross = best.select("a", F.col("cid").alias("b"))
         else:
             # What no star has connected or refuted: members of a key that are in different components.
-            cross = pairs_apart(runs.select("key", "cid", "comp"), few, threshold)
-        runs = runs.select("key", "cid")
+            cross, links = pairs_apart(runs.select("key", "n", "cid", "comp"), few, threshold)
+            state = _connected(state, links)
+        runs = runs.select("key", "n", "cid")
         cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = written(cross.join(tested, ["a", "b"], "left_anti"), "join-pairs")
         state = _connected(state, verified(pairs, few, threshold))
@@ -459,8 +621,9 @@ def tested_with(pairs: DataFrame) -> DataFrame:
 def _members(docs: DataFrame, threshold: int) -> DataFrame:
     """`doc_id, h, n_shingles, comp` per row; comp is null for a row without shingles."""
     with batches_of_bytes(docs.sparkSession):
-        sets = written(shingle_sets(docs), "join-all")
-    comp = linked_classes(docs, sets, threshold)
+        rows = written(scanned(docs), "join-all")
+    sets = rows.where("often IS NULL").drop("often")
+    comp = linked_classes(docs, sets, threshold, frequent=rows.where("often IS NOT NULL"))
     joined = sets.select("doc_id", "h", "n_shingles", "cid").join(comp, "cid", "left")
     return written(joined.select("doc_id", "h", "n_shingles", F.coalesce("comp", "cid").alias("comp")), "join-members")
 

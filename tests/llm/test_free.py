@@ -446,6 +446,73 @@ def test_similar_sets_always_share_a_key(threshold):
             assert np.intersect1d(alloc.keys(x), alloc.keys(y)).size, (len(x), drop, grow)
 
 
+@pytest.mark.parametrize("threshold", [60, 75, 90])
+def test_similar_sets_share_enough_first_shingles(threshold):
+    """Whatever shingles are frequent, and at the very edge of the threshold."""
+    rng = np.random.default_rng(threshold)
+    order = jaccard_join.Order(threshold)
+    for trial in range(2000):
+        n = int(rng.integers(1, 40)) if trial % 3 else int(rng.integers(40, 900))
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        n = len(x)
+        drop = int(rng.integers(0, n * (100 - threshold) // 100 + 1))
+        grow = max(100 * (n - drop) // threshold - n, 0)
+        y = np.unique(np.concatenate([x[rng.permutation(n)[drop:]], rng.integers(0, 2**63, grow).astype(np.uint64)]))
+        assert 100 * (n - drop) >= threshold * (n + grow)
+        order.tokens = np.unique(rng.choice(np.concatenate([x, y]), int(rng.integers(1, 2 * n + 1))))
+        order.often = rng.integers(1, 4, len(order.tokens))
+        shared = len(np.intersect1d(order.keys(x), order.keys(y)))
+        assert shared >= max(order.fewest(len(x)), order.fewest(len(y)), 1), (n, drop, grow)
+
+
+def test_blocks_give_links_not_pairs():
+    """Two blocks in which all sets are similar, in two components of their own each, and one set that is not."""
+    rows = [{"cid": i, "comp": i % 4, "tokens": np.arange(i % 3, 100, dtype=np.uint64).tobytes()} for i in range(128)]
+    rows[5] |= {"comp": 5, "tokens": np.arange(200, 300, dtype=np.uint64).tobytes()}
+    links = jaccard_join.block_links(rows[:64], rows[64:], 75)
+    assert len(links) == 3 and all(a < 64 <= b and a != 5 for a, b in links)
+    assert jaccard_join.block_links(rows[5:6], rows[:5], 75) == []
+    edge = [{"cid": i, "comp": i, "tokens": np.arange(a, b, dtype=np.uint64).tobytes()} for i, (a, b) in enumerate([(0, 75), (0, 100), (0, 101)])]
+    assert jaccard_join.block_links(edge[:1], edge[1:], 75) == [(0, 1)]
+
+
+@pytest.mark.parametrize("rounds", [0, 4])
+def test_near_copies_of_a_crowd(spark, rounds):
+    """Copies of one text that are mostly too far from each other, at keys that many share; links between some of them."""
+    rng = random.Random(rounds)
+    rows = []
+    for i in range(240):
+        if i % 8 == 7:  # near a copy before
+            words = rows[rng.randrange(len(rows))][1].split()
+            words[rng.randrange(150)] = f"x{i}"
+        else:
+            words = [f"c{k}" for k in range(150)]
+            for _ in range(rng.randrange(3, 7)):
+                words[rng.randrange(150)] = f"r{i}_{rng.randrange(9)}"
+        rows.append((i, " ".join(words)))
+    want = Counter(root for _, _, root in plain_components(rows).elements())
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    scanned = jaccard_join.written(jaccard_join.scanned(df), "test")
+    sets, frequent = scanned.where("often IS NULL"), scanned.where("often IS NOT NULL")
+    assert frequent.count() and len(want) > 10
+    for few in (None, frequent):
+        comp = {r.cid: r.comp for r in jaccard_join.linked_classes(df, sets, 75, rounds, few, 20).collect()}
+        got = Counter(comp.get(r.cid, r.cid) for r in sets.collect())
+        assert sorted(got.values()) == sorted(want.values())
+
+
+def test_keys_of_the_same_sets_become_one(spark):
+    """Ten keys of almost the same sets; two large keys that have one set in common stay, and so does a small one."""
+    rows = [(k, 5, c, c) for k in range(10) for c in range(100) if c % 50 != k]
+    rows += [(k, 5, c, c) for k, first in ((20, 1000), (21, 1099)) for c in range(first, first + 100)] + [(30, 5, 1, 1), (30, 5, 2, 2)]
+    runs = spark.createDataFrame(rows, "key long, n int, cid long, comp long")
+    keys = {}
+    for r in jaccard_join._merged(runs, 64).collect():
+        assert r.cid not in keys.setdefault(r.key, set())
+        keys[r.key].add(r.cid)
+    assert keys.pop(30) == {1, 2} and sorted(map(len, keys.values())) == [100, 100, 100]
+
+
 def test_bitmaps_bound_the_difference():
     rng = np.random.default_rng(5)
     with np.errstate(over="ignore"):
