@@ -26,8 +26,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
 _BASE_INV = np.uint64(pow(0x100000001B3, -1, 1 << 64))
-# Characters that are handled at a time; a longer text is cut at a blank.
+# A longer text is cut at a blank after so many characters.
 _CHUNK = 1 << 19
+# Characters of several texts, and rows of a batch, that are handled at a time: an executor's memory
+# holds some 200 bytes a character for each of its tasks.
+_GROUP = 1 << 16
+_ROWS = 200
 _BLANK = 0x20
 
 
@@ -122,7 +126,7 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarra
     ids, group, size = [], [], 0
     for i, t in enumerate(texts):
         for piece in _pieces(_code_points(t)) if t else ():
-            if group and size + len(piece) > _CHUNK:
+            if group and size + len(piece) > _GROUP:
                 yield ids, group
                 ids, group, size = [], [], 0
             ids.append(i)
@@ -223,12 +227,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Se
     return train([r.text for r in rows], np.array([r.label for r in rows], dtype=np.int64), settings)
 
 
+def _scores(batch: pa.Array, model: Model) -> np.ndarray:
+    parts = (batch.slice(i, _ROWS).to_pylist() for i in range(0, len(batch), _ROWS))
+    odds = np.concatenate([np.zeros(0), *(log_odds(part, model) for part in parts)])
+    return 1 / (1 + np.exp(-odds))
+
+
 def score(text: Column, model: Model) -> Column:
     """Probability of label 1."""
 
     @F.arrow_udf("double")
     def apply(batch: pa.Array) -> pa.Array:
-        return pa.array(1 / (1 + np.exp(-log_odds(batch.to_pylist(), model))))
+        return pa.array(_scores(batch, model))
 
     return apply(text)
 

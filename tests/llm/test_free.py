@@ -4,10 +4,12 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +123,25 @@ def test_oversized_texts_are_passed_over(spark):
     assert classifier.training_rows(docs, labels, "quality", classifier.Settings(max_chars=0)).count() == 0
 
 
+def test_scores_hold_few_texts_at_a_time():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 999, 700)) for _ in range(900)] + [None, ""]
+    model = classifier.Model(classifier.Settings(), rng.normal(size=1 << 18).astype(np.float32))
+    batch = pa.array(texts)
+    tracemalloc.start()
+    try:
+        odds = classifier.log_odds(texts, model)
+        assert tracemalloc.get_traced_memory()[1] < 25e6  # of some 3.4 million characters
+        tracemalloc.reset_peak()
+        got = classifier._scores(batch, model)
+        assert tracemalloc.get_traced_memory()[1] < 25e6
+    finally:
+        tracemalloc.stop()
+    assert got.tolist() == (1 / (1 + np.exp(-odds))).tolist()
+    assert odds.tolist() == [float(classifier.log_odds([t], model)[0]) for t in texts]
+    assert len(classifier._scores(batch[:0], model)) == 0
+
+
 def test_classifier_of_hard_and_empty(spark, hard, empty, hard_rows):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     constant = classifier.fit(hard, none)
