@@ -386,6 +386,13 @@ def _apart(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum())
 
 
+def only(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sets with one of some ids. Tokens are wide: what no pair needs is left out before they move."""
+    ids = ids.distinct()
+    # A checked size: beyond it, both sides are shuffled.
+    return sets.join(F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids, "cid", "left_semi")
+
+
 def block_links(left: list[dict], right: list[dict], threshold: int) -> list[tuple[int, int]]:
     """Links across two blocks that connect their components, none of them implied by the others."""
     root = {r["comp"]: r["comp"] for r in (*left, *right)}
@@ -450,7 +457,8 @@ def pairs_apart(runs: DataFrame, sets: DataFrame, threshold: int, size: int = 64
     counted = written(runs.join(count.select("key", "members", blocks), "key"), "join-counted")
     one, two = (counted.where(F.col("members") <= few).select("key", F.col("cid").alias(c), F.col("comp").alias(f"{c}_comp")) for c in "ab")
     paired = one.join(two, "key").where("a < b and a_comp != b_comp").select("a", "b")
-    placed = counted.where(F.col("members") > few).drop("n").join(sets.select("cid", "tokens"), "cid")
+    large = counted.where(F.col("members") > few).drop("n")
+    placed = large.join(only(sets.select("cid", "tokens"), large.select("cid")), "cid")
     block = F.pmod(F.xxhash64("cid", "key"), F.col("blocks"))
     one = F.struct("cid", "comp", "tokens")
     blocks = written(placed.groupBy("key", block.alias("block")).agg(F.collect_list(one).alias("rows")), "join-blocks")
@@ -517,14 +525,15 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
         return pa.array([one(p, q) for p, q in zip(x, y)], pa.bool_())
 
-    def on(frame: DataFrame, side: str, column: str) -> DataFrame:
+    def on(frame: DataFrame, side: str, column: str, sets: DataFrame) -> DataFrame:
         other = sets.select(F.col("cid").alias(side), F.col(column).alias(f"{side}_{column}"), F.col("n").alias(f"{side}_n"))
         return frame.join(other, side)
 
-    near = on(on(pairs, "a", "bitmap"), "b", "bitmap")
+    near = on(on(pairs, "a", "bitmap", sets), "b", "bitmap", sets)
     near = near.where(100 * F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n"))
     left = written(near.where(may("a_bitmap", "b_bitmap", F.col("a_n") + F.col("b_n"))).select("a", "b"), "join-near")
-    both = on(on(left, "a", "tokens").drop("a_n"), "b", "tokens")
+    needed = only(sets.select("cid", "n", "tokens"), left.select(F.col("a").alias("cid")).union(left.select("b")))
+    both = on(on(left, "a", "tokens", needed).drop("a_n"), "b", "tokens", needed)
     with batches_of_bytes(pairs.sparkSession):
         return written(both.where(exact("a_tokens", "b_tokens")).select("a", "b"), "join-links")
 
@@ -549,17 +558,20 @@ def components(links: DataFrame) -> DataFrame:
         roots = now.select("node", F.col("new").alias("root"))
 
 
-def _connected(state: DataFrame, links: DataFrame) -> DataFrame:
-    """`cid, comp` after links between ids have joined their components."""
+def _joined(state: DataFrame, links: DataFrame) -> DataFrame | None:
+    """`comp, root` of the components that links between ids join to another; None if there are none."""
     of = lambda side: state.toDF(side, f"{side}_comp")
     between = links.join(of("a"), "a").join(of("b"), "b").select("a_comp", "b_comp").where("a_comp != b_comp").distinct()
     between = written(between.toDF("a", "b"), "join-between")
     if between.isEmpty():
-        return state
-    merged = components(between).toDF("comp", "root")
-    return written(
-        state.join(merged, "comp", "left").select("cid", F.coalesce("root", "comp").alias("comp")), "join-state"
-    )
+        return None
+    roots = components(between).where("node != root").toDF("comp", "root")
+    return F.broadcast(roots) if roots.count() <= MAX_BROADCAST_IDS else roots
+
+
+def _moved(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """`rows` with the components that they are in now. Only what has changed comes to them."""
+    return rows.join(roots, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).drop("root")
 
 
 def linked_classes(
@@ -586,10 +598,19 @@ def linked_classes(
             segments = shared_keys(segment_keys(crowded, Allocation(threshold, longest)), threshold)
             runs = written(runs.join(full, "key", "left_anti").unionByName(segments), "join-runs")
     state = written(ids.select("cid", F.col("cid").alias("comp")), "join-state")
+    runs = runs.select("key", "cid", F.col("cid").alias("comp"))
+
+    def connect(links: DataFrame) -> None:
+        nonlocal state, runs
+        roots = _joined(state, links)
+        if roots is not None:
+            state, runs = written(_moved(state, roots).select("cid", "comp"), "join-state"), _moved(runs, roots)
+
     tested = spark.createDataFrame([], "a long, b long")
     for turn in range(rounds + 1):
         # Keys whose members are still apart, each with a centre that changes from turn to turn.
-        placed = runs.join(state, "cid")
+        # Rows move once in a turn, to their key: both sides of the join below read the same columns.
+        placed = runs.repartition("key")
         centre = F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), "cid", "comp")).alias("c")
         spread = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), centre)
         alive = spread.where("x != y").select("key", F.col("c.cid").alias("a"), F.col("c.comp").alias("a_comp"))
@@ -603,12 +624,14 @@ def linked_classes(
             cross = best.select("a", F.col("cid").alias("b"))
         else:
             # What no star has connected or refuted: members of a key that are in different components.
-            cross, links = pairs_apart(runs.select("key", "n", "cid", "comp"), few, threshold)
-            state = _connected(state, links)
-        runs = runs.select("key", "n", "cid")
+            sizes = few.select("cid", "n")
+            sized = runs.join(F.broadcast(sizes) if sizes.count() <= MAX_BROADCAST_IDS else sizes, "cid")
+            cross, links = pairs_apart(sized.select("key", "n", "cid", "comp"), few, threshold)
+            connect(links)
+        runs = runs.select("key", "cid", "comp")
         cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = written(cross.join(tested, ["a", "b"], "left_anti"), "join-pairs")
-        state = _connected(state, verified(pairs, few, threshold))
+        connect(verified(pairs, few, threshold))
         tested = tested.union(pairs)
     return state
 

@@ -522,6 +522,36 @@ def test_near_copies_of_a_crowd(spark, rounds):
         assert sorted(got.values()) == sorted(want.values())
 
 
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_near_copies_move_rows_to_keys_and_few_tokens(spark, monkeypatch, most):
+    """Nothing moves by the id of a set while keys are placed; tokens that no pair needs do not move. With ids too many to broadcast, too."""
+    rng = random.Random(most)
+    rows = []
+    for i in range(200):
+        words = [f"g{i // 10}w{k}" for k in range(60)]
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(60)] = f"r{rng.random()}"
+        rows.append((i, " ".join(words)))
+    plans = {}
+    plain = jaccard_join.written
+
+    def noted(df, purpose):
+        plans.setdefault(purpose, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, purpose)
+
+    monkeypatch.setattr(jaccard_join, "written", noted)
+    monkeypatch.setattr(jaccard_join, "MAX_BROADCAST_IDS", most)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = Counter(tuple(r) for r in jaccard_join.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == plain_components(rows)
+    assert "hashpartitioning(cid" not in plans["join-open"][0] and "hashpartitioning(key" in plans["join-open"][0]
+    assert all("LeftSemi" in p for p in plans["join-links"])
+
+
 def test_keys_of_the_same_sets_become_one(spark):
     """Ten keys of almost the same sets; two large keys that have one set in common stay, and so does a small one."""
     rows = [(k, 5, c, c) for k in range(10) for c in range(100) if c % 50 != k]
